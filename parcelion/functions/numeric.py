@@ -47,15 +47,12 @@ def ordered_bin(value: Column) -> Column:
     magnitude = F.abs(value)
     exponent, step = _octave(magnitude)
     positive = (exponent + _EXPONENT_SHIFT) * BINS_PER_OCTAVE + step
-    number = (
+    return (
         F.when(value == 0, F.lit(0))
         .when(magnitude == float("inf"), F.signum(value) * _INFINITE_BIN)
         .otherwise(F.signum(value) * positive)
         .cast("long")
     )
-    # Never NULL: a join on the bin then adds no filter below the value counts, and both
-    # sides of the join read one and the same shuffle.
-    return F.coalesce(number, F.lit(0))
 
 
 def bin_floor(value: Column) -> Column:

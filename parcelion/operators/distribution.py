@@ -1,21 +1,23 @@
-"""Exact distribution figures from one shuffle of value counts.
+"""Exact distribution figures without ordering or collecting whole groups.
 
 ``percentile`` keeps every value of a group in one buffer, and a price segment or a
-large department may hold a third of all rows. Here rows are first counted per
-(group, value): the count is combined before the shuffle and the value belongs to the
-shuffle key, so no group ever meets in one task. Everything else works on that reduced
-table, in bins whose number per group is bounded.
+large department may hold a third of all rows. Here a first scan counts rows per
+(group, bin): the counts are combined before the shuffle, so a few thousand rows per
+task travel, however large a group is. Running counts tell which bin holds a quantile
+position, and a second scan takes only the values of those bins.
+
+The input is scanned twice: pass a stored table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelion.functions.numeric import bin_floor, equal_width_bin, ordered_bin
+from parcelion.session import stage_table
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -24,53 +26,47 @@ def quantile_name(q: float) -> str:
     return f"p{round(q * 100)}"
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows per (keys, variable, value). NULL keys and missing values are left out."""
-    cells = F.array(
+def cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows (keys, variable, value). NULL keys and missing values are left out."""
+    pairs = F.array(
         *[
-            F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"))
+            F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").cast("double").alias("value"))
             for c in columns
         ]
     )
     usable = F.col("value").isNotNull() & ~F.isnan("value")
     for key in keys:
         usable = usable & F.col(key).isNotNull()
-    return (
-        df.select(*keys, F.inline(cells))
-        .where(usable)
-        .groupBy(*keys, "variable", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return df.select(*keys, F.inline(pairs)).where(usable)
 
 
-def _binned(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+def _binned(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     """Size, range and power sums of each bin, around the bin's own edge."""
-    value, n = F.col("value"), F.col("n")
+    value = F.col("value")
     off = value - bin_floor(value)
-    return counts.groupBy(*group, ordered_bin(value).alias("bin")).agg(
-        F.sum("n").alias("size"),
+    return rows.groupBy(*group, ordered_bin(value).alias("bin")).agg(
+        F.count(F.lit(1)).alias("size"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.sum(n * off).alias("s1"),
-        F.sum(n * off * off).alias("s2"),
-        F.sum(n * off * off * off).alias("s3"),
+        F.sum(off).alias("s1"),
+        F.sum(off * off).alias("s2"),
+        F.sum(off * off * off).alias("s3"),
     )
 
 
 def summarize(
-    counts: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = (0.5,)
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], quantiles: Sequence[float] = (0.5,)
 ) -> DataFrame:
     """Per (keys, variable): n, mean, std, std_pop, skew, min, max and exact quantiles
     with linear interpolation, as columns ``p25``, ``p50`` and so on.
 
-    ``counts`` comes from :func:`value_counts`. ``std`` is the sample deviation,
-    ``skew`` the population one. Running bin sizes tell which bin holds a quantile
-    position; only those bins are ordered value by value, each in a task of its own.
+    ``std`` is the sample deviation, ``skew`` the population one.
     """
     group = [*keys, "variable"]
-    bins = _with_moments(_binned(counts, group), group)
+    rows = cells(df, keys, columns)
+    bins = _with_moments(_binned(rows, group), group)
     if quantiles:
-        picked = _values_at(counts, bins, group, quantiles)
+        picked = _values_at(rows, bins, group, quantiles)
     else:
         picked = bins.groupBy(*group).agg(*[F.max(c).alias(c) for c in _MOMENTS])
     n, m2, m3 = F.col("n"), F.col("m2"), F.col("m3")
@@ -125,15 +121,20 @@ def _interpolated(i: int, q: float) -> Column:
 
 
 def _values_at(
-    counts: DataFrame, bins: DataFrame, group: Sequence[str], quantiles: Sequence[float]
+    rows: DataFrame, bins: DataFrame, group: Sequence[str], quantiles: Sequence[float]
 ) -> DataFrame:
-    """Group figures with the two values next to every quantile position."""
+    """Group figures with the two values next to every quantile position.
+
+    The wanted bins, a few per group, are stored: their true size decides whether they
+    are broadcast to the second scan. Inside a bin, values are counted before they are
+    ordered; at most 131,072 different 32-bit values share one.
+    """
     ranks = []
     for i, q in enumerate(quantiles):
         for side, rank in (("lower", F.floor(_place(q))), ("upper", F.ceil(_place(q)))):
             slot = F.lit(f"_{side}{i}").alias("slot")
             ranks.append(F.struct(slot, rank.cast("long").alias("rank")))
-    wanted = (
+    wanted = stage_table(
         bins.withColumn(
             "ranks",
             F.filter(
@@ -142,28 +143,31 @@ def _values_at(
             ),
         )
         .where(F.size("ranks") > 0)
-        .select(*group, "bin", "before", "ranks", *_MOMENTS)
+        .select(*group, "bin", "before", "ranks", *_MOMENTS),
+        "bins",
+    )
+    place = [*group, "bin"]
+    counted = (
+        rows.withColumn("bin", ordered_bin(F.col("value")))
+        .join(wanted.select(*place), place, "left_semi")
+        .groupBy(*place, "value")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    inside = Window.partitionBy(*group, "bin").orderBy("value").rowsBetween(
+    inside = Window.partitionBy(*place).orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    rows = F.col("_rows")
-    placed = (
-        counts.select(*group, "value", F.col("n").alias("_rows"), ordered_bin(F.col("value")).alias("bin"))
-        .join(wanted, [*group, "bin"])
-        .withColumn("until", F.col("before") + F.sum(rows).over(inside))
-        .withColumn(
-            "hit",
-            F.explode(
-                F.filter(
-                    "ranks",
-                    lambda r: (r["rank"] >= F.col("until") - rows) & (r["rank"] < F.col("until")),
-                )
-            ),
-        )
+    hits = F.filter(
+        "ranks",
+        lambda r: (r["rank"] >= F.col("until") - F.col("_rows")) & (r["rank"] < F.col("until")),
+    )
+    located = (
+        counted.withColumn("_run", F.sum("_rows").over(inside))
+        .join(wanted, place)
+        .withColumn("until", F.col("before") + F.col("_run"))
+        .withColumn("hit", F.explode(hits))
     )
     slots = [f"_{side}{i}" for i in range(len(quantiles)) for side in ("lower", "upper")]
-    return placed.groupBy(*group).agg(
+    return located.groupBy(*group).agg(
         *[F.max(c).alias(c) for c in _MOMENTS],
         *[F.max(F.when(F.col("hit.slot") == s, F.col("value"))).alias(s) for s in slots],
     )
@@ -181,7 +185,7 @@ def spread(summary: DataFrame, keys: Sequence[str], wanted: dict[str, tuple[str,
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column."""
-    return summarize(value_counts(df, [], columns), [], QUARTILES).select(
+    return summarize(df, [], columns, QUARTILES).select(
         "variable", F.col("n").alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -190,22 +194,22 @@ def histogram(df: DataFrame, keys: Sequence[str], column: str, bins: int) -> Dat
     """Counts in ``bins`` equal-width bins between each group's smallest and largest
     value. Empty bins have no row.
 
-    Extents have one row per group and go back by a join on the group; both sides read
-    the same value counts, which are shuffled once.
+    Extents, one row per group, are stored and joined back by their true size.
     """
-    counts = value_counts(df, keys, [column])
     group = [*keys, "variable"]
-    extents = counts.groupBy(*group).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
+    rows = cells(df, keys, [column])
+    extents = stage_table(
+        rows.groupBy(*group).agg(F.min("value").alias("low"), F.max("value").alias("high")),
+        "extents",
     )
     index = equal_width_bin(F.col("value"), F.col("low"), F.col("high"), bins)
     return (
-        counts.join(extents, group)
+        rows.join(extents, group)
         .groupBy(*keys, index.alias("classe"))
         .agg(
             F.min("low").alias("borne_min"),
             F.max("high").alias("borne_max"),
-            F.sum("n").alias("effectif"),
+            F.count(F.lit(1)).alias("effectif"),
         )
     )
 
@@ -213,21 +217,21 @@ def histogram(df: DataFrame, keys: Sequence[str], column: str, bins: int) -> Dat
 def box_plot(df: DataFrame, keys: Sequence[str], column: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the furthest value inside ``factor`` times the
     interquartile range, and the number of values outside."""
-    counts = value_counts(df, keys, [column])
     group = [*keys, "variable"]
     reach = factor * (F.col("p75") - F.col("p25"))
-    fences = summarize(counts, keys, QUARTILES).select(
-        *group, "n", "p25", "p50", "p75",
-        (F.col("p25") - reach).alias("fence_low"), (F.col("p75") + reach).alias("fence_high"),
+    fences = stage_table(
+        summarize(df, keys, [column], QUARTILES).select(
+            *group, "n", "p25", "p50", "p75",
+            (F.col("p25") - reach).alias("fence_low"), (F.col("p75") + reach).alias("fence_high"),
+        ),
+        "fences",
     )
     inside = (F.col("value") >= F.col("fence_low")) & (F.col("value") <= F.col("fence_high"))
-    figures = ["n", "p25", "p50", "p75"]
-    rows = counts.withColumnRenamed("n", "_rows")
-    drawn = rows.join(fences, group).groupBy(*group).agg(
-        *[F.max(c).alias(c) for c in figures],
+    drawn = cells(df, keys, [column]).join(fences, group).groupBy(*group).agg(
+        *[F.max(c).alias(c) for c in ("n", "p25", "p50", "p75")],
         F.min(F.when(inside, F.col("value"))).alias("low"),
         F.max(F.when(inside, F.col("value"))).alias("high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("_rows"))).alias("hors"),
+        F.count_if(~inside).alias("hors"),
     )
     # With few values no value may lie between a fence and its quartile.
     return drawn.select(
@@ -286,8 +290,3 @@ def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
         f"y_{end}": F.col("pente") * F.col(f"x_{end}") + F.col("ordonnee") for end in ("min", "max")
     }
     return fitted.withColumns(ends)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    """Conjunction of conditions, true when there is none."""
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelion.functions.numeric import half_even
 from parcelion.functions.text import department, zero_pad
-from parcelion.operators.distribution import spread, summarize, value_counts
+from parcelion.operators.distribution import spread, summarize
 
 _PRICE = "valeur_fonciere"
 _SURFACE = "surface_reelle_bati"
@@ -27,7 +27,7 @@ def with_department(df: DataFrame) -> DataFrame:
 
 def group_summary(df: DataFrame, group: str, price: str = _PRICE) -> DataFrame:
     """Rows, mean, median and sample deviation of the price and mean surface per group."""
-    figures = summarize(value_counts(df, [group], [price, _SURFACE]), [group])
+    figures = summarize(df, [group], [price, _SURFACE])
     return spread(
         figures,
         [group],
@@ -95,7 +95,7 @@ def department_stats(df: DataFrame) -> DataFrame:
     """Per segment and department: count, mean, median and sample deviation of the price,
     mean and median of the surface, rounded to units."""
     keys = ["segment", "departement"]
-    figures = summarize(value_counts(with_department(df), keys, [_PRICE, _SURFACE]), keys)
+    figures = summarize(with_department(df), keys, [_PRICE, _SURFACE])
     return spread(
         figures,
         keys,
@@ -190,7 +190,7 @@ def log_price(df: DataFrame) -> DataFrame:
 
 def target_distribution(df: DataFrame, keys: Sequence[str] = (), column: str = _PRICE) -> DataFrame:
     """Min, max, median, sample deviation and population skewness of the target."""
-    return summarize(value_counts(df, keys, [column]), keys).select(
+    return summarize(df, keys, [column]).select(
         *keys, "n", "min", "max", F.col("p50").alias("mediane"), F.col("std").alias("ecart_type"),
         F.col("skew").alias("asymetrie"),
     )

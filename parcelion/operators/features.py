@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelion.functions.dates import calendar_features, cyclic, date_parts
 from parcelion.functions.numeric import finite_or_null, half_even, ratio
-from parcelion.operators.distribution import quantile_name, spread, summarize, value_counts
+from parcelion.operators.distribution import quantile_name, spread, summarize
 from parcelion.operators.explore import with_department
 from parcelion.session import stage_table
 
@@ -90,7 +90,7 @@ class DepartmentStats:
 
 def full_stats(df: DataFrame) -> DepartmentStats:
     """Price mean, median, deviation and count, surface mean and median, to cents."""
-    figures = summarize(value_counts(df, ["departement"], [_PRICE, _SURFACE]), ["departement"])
+    figures = summarize(df, ["departement"], [_PRICE, _SURFACE])
     wanted = {
         f"dept_{column}_{label}": (column, half_even(F.col(source), 2))
         for column, labels in {
@@ -105,7 +105,7 @@ def full_stats(df: DataFrame) -> DepartmentStats:
 
 def training_stats(train: DataFrame) -> DepartmentStats:
     """Department figures of the training rows only, unrounded."""
-    figures = summarize(value_counts(train, ["departement"], [_PRICE, _SURFACE]), ["departement"])
+    figures = summarize(train, ["departement"], [_PRICE, _SURFACE])
     return DepartmentStats(
         stage_table(
             spread(
@@ -243,7 +243,7 @@ def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def column_quantiles(df: DataFrame, columns: list[str], quantiles: tuple[float, ...]) -> dict[str, tuple]:
     """Exact quantiles of each column: one row per column comes to the driver."""
-    rows = summarize(value_counts(df, [], columns), [], quantiles).collect()
+    rows = summarize(df, [], columns, quantiles).collect()
     names = [quantile_name(q) for q in quantiles]
     return {r["variable"]: tuple(r[n] for n in names) for r in rows}
 

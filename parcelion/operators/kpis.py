@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelion.functions.dates import local_clock
 from parcelion.functions.numeric import half_even
 from parcelion.functions.text import ranked_label, split_label
+from parcelion.session import stage_table
 
 
 def headline(df: DataFrame) -> DataFrame:
@@ -31,26 +32,44 @@ def top_communes(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def key_values(df: DataFrame, now: datetime | None = None, rows: int = 5) -> DataFrame:
-    """Key figures as (key, pos, value) text, the shape of the key-value store."""
-    figures = headline(df).select(
+    """Key figures as (key, pos, value) text, the shape of the key-value store.
+
+    Rows are read once, into a stored table of one row per commune; the figures and the
+    list both come from that.
+    """
+    communes = stage_table(
+        df.groupBy("commune").agg(
+            F.count(F.lit(1)).alias("nb"),
+            F.count("valeur_fonciere").alias("prix"),
+            F.sum("valeur_fonciere").alias("somme"),
+        ),
+        "communes",
+    )
+    mean = F.coalesce(F.try_divide(F.sum("somme"), F.sum("prix")), F.lit(0.0))
+    clock = local_clock(F.lit(now) if now is not None else F.current_timestamp())
+    figures = communes.agg(
+        F.coalesce(F.sum("nb"), F.lit(0)).cast("string").alias("total"),
+        half_even(mean, 2).cast("string").alias("moyenne"),
+    ).select(
         F.inline(
             F.array(
-                _entry("stat_total_documents", F.col("total_documents").cast("string")),
-                _entry("stat_moyenne_valeur_fonciere", F.col("moyenne_valeur_fonciere").cast("string")),
-                _entry(
-                    "last_update_stats",
-                    local_clock(F.lit(now) if now is not None else F.current_timestamp()),
-                ),
+                _entry("stat_total_documents", F.col("total")),
+                _entry("stat_moyenne_valeur_fonciere", F.col("moyenne")),
+                _entry("last_update_stats", clock),
             )
         )
     )
-    best = top_communes(df, rows).agg(
+    best = communes.orderBy(F.desc("nb"), "commune").limit(rows)
+    # ``best`` has ``rows`` rows: one array holds them.
+    ranked = best.agg(
         F.array_sort(F.collect_list(F.struct((-F.col("nb")).alias("down"), "commune", "nb"))).alias("top")
+    ).select(F.posexplode("top").alias("pos", "c"))
+    return figures.unionByName(
+        ranked.select(
+            F.lit("top_communes").alias("key"), "pos",
+            ranked_label(F.col("c.commune"), F.col("c.nb")).alias("value"),
+        )
     )
-    ranked = best.select(F.posexplode("top").alias("pos", "c")).select(
-        F.lit("top_communes").alias("key"), "pos", ranked_label(F.col("c.commune"), F.col("c.nb")).alias("value")
-    )
-    return figures.unionByName(ranked)
 
 
 def _entry(key: str, value):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelion.functions.dates import move_to_year
 from parcelion.functions.text import hex_decile
-from parcelion.operators.distribution import spread, summarize, value_counts
+from parcelion.operators.distribution import spread, summarize
 from parcelion.operators.explore import group_summary, with_department
 from parcelion.operators.features import (
     DepartmentStats, column_quantiles, drop_prefixed, leak_free, numeric_columns, training_stats,
@@ -155,7 +155,7 @@ def residuals(scored: DataFrame, keys: Sequence[str] = (), label: str = TARGET,
               prediction: str = "prediction") -> DataFrame:
     """Mean, population deviation and exact median of target minus prediction."""
     gap = scored.withColumn("residu", F.col(label) - F.col(prediction))
-    return summarize(value_counts(gap, keys, ["residu"]), keys).select(
+    return summarize(gap, keys, ["residu"]).select(
         *keys, F.col("mean").alias("moyenne"), F.col("std_pop").alias("ecart_type"),
         F.col("p50").alias("mediane"),
     )
@@ -435,7 +435,7 @@ def department_comparison(observed: DataFrame, predicted: DataFrame, rows: int =
 
 def prediction_summary(predictions: DataFrame) -> DataFrame:
     """Median and mean of all predictions."""
-    figures = summarize(value_counts(predictions, [], [PREDICTION]), [])
+    figures = summarize(predictions, [], [PREDICTION])
     return spread(
         figures, [], {"mediane": (PREDICTION, F.col("p50")), "moyenne": (PREDICTION, F.col("mean"))}
     )

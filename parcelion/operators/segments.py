@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelion.operators.distribution import summarize, value_counts
+from parcelion.operators.distribution import summarize
 
 # Segment number, lowest and highest price, both included.
 SEGMENTS = [
@@ -54,7 +54,7 @@ def price_segments(df: DataFrame, bounds: list[tuple[int, float, float]] | None
 def iqr_bounds(df: DataFrame, column: str = _SURFACE, factor: float = 1.5) -> DataFrame:
     """Lowest and highest accepted value per segment."""
     reach = factor * (F.col("p75") - F.col("p25"))
-    quartiles = summarize(value_counts(df, ["segment"], [column]), ["segment"], (0.25, 0.75))
+    quartiles = summarize(df, ["segment"], [column], (0.25, 0.75))
     return quartiles.select(
         "segment",
         (F.col("p25") - reach).alias("borne_inf"),

@@ -34,6 +34,16 @@ def drop_duplicates(bronze: DataFrame) -> DataFrame:
     return kept.select(*[F.col(c) if c in DEDUP_KEY else F.col(f"_row.{c}") for c in bronze.columns])
 
 
+def duplicate_counts(bronze: DataFrame) -> DataFrame:
+    """Rows and different keys per year, from one pass."""
+    return (
+        bronze.groupBy(*DEDUP_KEY)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .groupBy(F.year("date_mutation").alias("annee"))
+        .agg(F.sum("_rows").alias("lignes"), F.count(F.lit(1)).alias("gardees"))
+    )
+
+
 def to_silver(
     bronze: DataFrame,
     year_from: int = 2021,

@@ -152,12 +152,7 @@ def silver_rows(spark, sf):
 def silver_duplicates(spark, sf):
     """Rows and kept rows per year."""
     rows = silver_ops.date_window(bronze(spark, sf), date(1996, 1, 1), date(1999, 1, 1))
-    kept = silver_ops.drop_duplicates(rows)
-    year = F.year("date_mutation").alias("annee")
-    return (
-        rows.groupBy(year).agg(F.count(F.lit(1)).alias("lignes"))
-        .join(kept.groupBy(year).agg(F.count(F.lit(1)).alias("gardees")), "annee")
-    )
+    return silver_ops.duplicate_counts(rows)
 
 
 @query
@@ -420,7 +415,7 @@ def segment_counts(spark, sf):
 
 @query
 def segment_iqr_bounds(spark, sf):
-    return seg.iqr_bounds(seg.price_segments(seg.cut(silver(spark, sf))))
+    return seg.iqr_bounds(seg.price_segments(seg.cut(stored_silver(spark, sf))))
 
 
 @query
@@ -502,7 +497,7 @@ def dept_covered(spark, sf):
 
 @query
 def histogram_100(spark, sf):
-    return distribution.histogram(seg.cut(silver(spark, sf), seg.FIRST_CUT), [], _PRICE, 100)
+    return distribution.histogram(seg.cut(stored_silver(spark, sf), seg.FIRST_CUT), [], _PRICE, 100)
 
 
 @query
@@ -527,7 +522,7 @@ def histogram_log_price(spark, sf):
 
 @query
 def box_price(spark, sf):
-    return distribution.box_plot(seg.cut(silver(spark, sf), seg.FIRST_CUT), [], _PRICE)
+    return distribution.box_plot(seg.cut(stored_silver(spark, sf), seg.FIRST_CUT), [], _PRICE)
 
 
 @query
@@ -537,7 +532,7 @@ def box_segment_price(spark, sf):
 
 @query
 def box_surface(spark, sf):
-    return distribution.box_plot(seg.cut(silver(spark, sf)), [], _SURFACE)
+    return distribution.box_plot(seg.cut(stored_silver(spark, sf)), [], _SURFACE)
 
 
 @query
@@ -569,7 +564,7 @@ def target_distribution(spark, sf):
 
 @query
 def describe_columns(spark, sf):
-    found = distribution.describe(silver(spark, sf), [_PRICE, _SURFACE, "nombre_pieces_principales"])
+    found = distribution.describe(stored_silver(spark, sf), [_PRICE, _SURFACE, "nombre_pieces_principales"])
     return _rounded(found, ["mean", "std"])
 
 

@@ -71,14 +71,14 @@ def replace_months(silver: DataFrame, path: str) -> None:
 
 
 def read_months(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Rows dated in [start, end). Whole years outside the range are never listed, the
+    """Rows dated in [start, end). Months outside the range are never listed, and the
     date bounds themselves are pushed into the Parquet scan."""
-    day = F.col("date_mutation")
-    first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    day, month = F.col("date_mutation"), F.col("annee") * 12 + F.col("mois")
+    first, last = (int(d[:4]) * 12 + int(d[5:7]) for d in (start, end))
     return (
         spark.read.parquet(path)
-        .where((F.col("annee") >= int(start[:4])) & (F.col("annee") <= int(end[:4])))
-        .where((day >= first) & (day < last))
+        .where(month.between(first, last))
+        .where((day >= F.to_date(F.lit(start))) & (day < F.to_date(F.lit(end))))
         .drop("annee", "mois")
     )
 
