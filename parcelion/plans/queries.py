@@ -1062,9 +1062,9 @@ def stream_kpis(spark, sf):
 @query
 def stream_events(spark, sf):
     """Running figures over the event table as a stream, through JSON and back."""
-    schema = testdata.table(spark, sf, "events").schema
     incoming = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+        spark.readStream.schema(testdata.table_schema(spark, sf, "events"))
+        .option("pathGlobFilter", "events.parquet").parquet(sf)
     )
     body = F.to_json(F.struct("event_type", "value"))
     parsed = incoming.select(

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelion.sources.raw import message_fields
 
 
+# Schemas seen so far by path: file footers are looked at once, not once per query.
+_SEEN: dict[str, T.StructType] = {}
+
+
+def table_schema(spark: SparkSession, sf_dir: str, name: str) -> T.StructType:
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SEEN:
+        _SEEN[path] = spark.read.parquet(path).schema
+    return _SEEN[path]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(table_schema(spark, sf_dir, name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _comma_text(amount: Column) -> Column:
