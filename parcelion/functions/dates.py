@@ -38,7 +38,7 @@ def date_parts(day: Column) -> dict[str, Column]:
         "day": F.day(day),
         "dayofweek": F.weekday(day),
         "quarter": F.quarter(day),
-        "timestamp": F.unix_timestamp(F.to_timestamp(day)),
+        "timestamp": F.unix_date(day).cast("long") * 86_400,
     }
 
 
@@ -48,5 +48,6 @@ def move_to_year(day: Column, year: int) -> Column:
 
 
 def local_clock(instant: Column, zone: str = "Europe/Paris") -> Column:
-    """UTC instant as wall-clock text in ``zone``."""
-    return F.date_format(F.from_utc_timestamp(instant, zone), "yyyy-MM-dd HH:mm:ss")
+    """Instant as wall-clock text in ``zone``, whatever the session's own zone is."""
+    here = instant.cast("timestamp_ntz")
+    return F.date_format(F.convert_timezone(None, F.lit(zone), here), "yyyy-MM-dd HH:mm:ss")

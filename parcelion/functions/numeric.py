@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS_PER_OCTAVE = 64
@@ -31,36 +31,35 @@ def finite_or_null(value: Column) -> Column:
     return F.when(F.isnan(value) | (F.abs(value) == float("inf")), None).otherwise(value)
 
 
-def _octave(magnitude: Column) -> tuple[Column, Column]:
-    exponent = F.floor(F.log2(magnitude))
-    step = F.floor((magnitude / F.pow(F.lit(2.0), exponent) - 1) * BINS_PER_OCTAVE)
-    return exponent, step
-
-
-def ordered_bin(value: Column) -> Column:
-    """A bin number that grows with ``value`` and depends on nothing else.
+def with_ordered_bin(df: DataFrame, value: str, bin_name: str = "bin", edge_name: str = "edge") -> DataFrame:
+    """A bin number that grows with ``value`` and depends on nothing else, and the edge
+    of the bin that is nearest to zero.
 
     Every power of two is cut into 64 equal steps, so a bin holds at most 131,072
-    different 32-bit floats. An exponent that is off by one next to a power of two
-    is made good by the step, so the order always holds.
+    different 32-bit floats. An exponent that is off by one next to a power of two is
+    made good by the step, so the order always holds. Zero is bin 0 with edge 0.
     """
-    magnitude = F.abs(value)
-    exponent, step = _octave(magnitude)
-    positive = (exponent + _EXPONENT_SHIFT) * BINS_PER_OCTAVE + step
-    return (
-        F.when(value == 0, F.lit(0))
-        .when(magnitude == float("inf"), F.signum(value) * _INFINITE_BIN)
-        .otherwise(F.signum(value) * positive)
-        .cast("long")
-    )
-
-
-def bin_floor(value: Column) -> Column:
-    """Edge nearest to zero of the bin that holds ``value``."""
-    exponent, step = _octave(F.abs(value))
+    size = F.abs(F.col(value))
+    sign, exponent, step = F.signum(value), F.col("_exponent"), F.col("_step")
+    number = (exponent + _EXPONENT_SHIFT) * BINS_PER_OCTAVE + step
     edge = F.pow(F.lit(2.0), exponent) * (1 + step / BINS_PER_OCTAVE)
-    return F.when((value == 0) | (F.abs(value) == float("inf")), F.lit(0.0)).otherwise(
-        F.signum(value) * edge
+    # Each step is a column of its own, so no expression is written out twice.
+    return (
+        df.withColumn(
+            "_exponent",
+            F.when((size > 0) & (size < float("inf")), F.log2(size)).otherwise(0.0),
+        )
+        .withColumn("_exponent", F.least(F.floor("_exponent"), F.lit(1023)))
+        .withColumn("_step", F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * BINS_PER_OCTAVE))
+        .withColumns(
+            {
+                bin_name: F.when(size == 0, F.lit(0).cast("long"))
+                .when(size == float("inf"), (sign * _INFINITE_BIN).cast("long"))
+                .otherwise(sign.cast("long") * number),
+                edge_name: F.when((size == 0) | (size == float("inf")), F.lit(0.0)).otherwise(sign * edge),
+            }
+        )
+        .drop("_exponent", "_step")
     )
 
 

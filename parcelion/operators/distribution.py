@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelion.functions.numeric import bin_floor, equal_width_bin, ordered_bin
+from parcelion.functions.numeric import equal_width_bin, with_ordered_bin
 from parcelion.session import stage_table
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -42,15 +42,18 @@ def cells(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFra
 
 def _binned(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     """Size, range and power sums of each bin, around the bin's own edge."""
-    value = F.col("value")
-    off = value - bin_floor(value)
-    return rows.groupBy(*group, ordered_bin(value).alias("bin")).agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.sum(off).alias("s1"),
-        F.sum(off * off).alias("s2"),
-        F.sum(off * off * off).alias("s3"),
+    off = F.col("off")
+    return (
+        rows.withColumn("off", F.col("value") - F.col("edge"))
+        .groupBy(*group, "bin", "edge")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.sum(off).alias("s1"),
+            F.sum(off * off).alias("s2"),
+            F.sum(off * off * off).alias("s3"),
+        )
     )
 
 
@@ -63,7 +66,7 @@ def summarize(
     ``std`` is the sample deviation, ``skew`` the population one.
     """
     group = [*keys, "variable"]
-    rows = cells(df, keys, columns)
+    rows = with_ordered_bin(cells(df, keys, columns), "value")
     bins = _with_moments(_binned(rows, group), group)
     if quantiles:
         picked = _values_at(rows, bins, group, quantiles)
@@ -90,8 +93,7 @@ def _with_moments(bins: DataFrame, group: Sequence[str]) -> DataFrame:
     """Each bin with the figures of its whole group and the rows before and until it."""
     whole = Window.partitionBy(*group)
     up_to = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = bin_floor(F.col("low"))
-    size, s1, s2, s3 = (F.col(c) for c in ("size", "s1", "s2", "s3"))
+    edge, size, s1, s2, s3 = (F.col(c) for c in ("edge", "size", "s1", "s2", "s3"))
     located = bins.withColumns(
         {
             "n": F.sum(size).over(whole),
@@ -100,8 +102,8 @@ def _with_moments(bins: DataFrame, group: Sequence[str]) -> DataFrame:
             "max": F.max("high").over(whole),
         }
     )
-    d = edge - F.col("mean")
-    return located.withColumns(
+    d = F.col("_d")
+    return located.withColumn("_d", edge - F.col("mean")).withColumns(
         {
             "m2": F.sum(s2 + 2 * d * s1 + size * d * d).over(whole),
             "m3": F.sum(s3 + 3 * d * s2 + 3 * d * d * s1 + size * d * d * d).over(whole),
@@ -148,8 +150,7 @@ def _values_at(
     )
     place = [*group, "bin"]
     counted = (
-        rows.withColumn("bin", ordered_bin(F.col("value")))
-        .join(wanted.select(*place), place, "left_semi")
+        rows.join(wanted.select(*place), place, "left_semi")
         .groupBy(*place, "value")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )

@@ -406,7 +406,8 @@ def largest_departments(predictions: DataFrame, rows: int = 10) -> DataFrame:
     return predictions.join(F.broadcast(top), "departement", "left_semi")
 
 
-def _stacked(observed: DataFrame, predicted: DataFrame) -> DataFrame:
+def stacked(observed: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Observed and predicted prices as one frame with a ``source``."""
     columns = ["code_postal", "surface_reelle_bati"]
     real = observed.select(F.lit("reel").alias("source"), *columns, F.col(TARGET).alias("prix"))
     guess = predicted.select(F.lit("predit").alias("source"), *columns, F.col(PREDICTION).alias("prix"))
@@ -415,7 +416,7 @@ def _stacked(observed: DataFrame, predicted: DataFrame) -> DataFrame:
 
 def observed_and_predicted(observed: DataFrame, predicted: DataFrame) -> DataFrame:
     """Rows, mean, median, deviation and mean surface of observed and predicted prices."""
-    return group_summary(_stacked(observed, predicted), "source", "prix")
+    return group_summary(stacked(observed, predicted), "source", "prix")
 
 
 def department_comparison(observed: DataFrame, predicted: DataFrame, rows: int = 10) -> DataFrame:

@@ -595,6 +595,11 @@ FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY variable) AS DOUBLE) AS total,
         sum(n) OVER (PARTITION BY variable, x) AS nx, sum(n) OVER (PARTITION BY variable, y) AS ny FROM placed)
 GROUP BY 1""")
 
+sql("prepared_lots", f"""
+SELECT {lot('id_unique')} AS lot, count(*) AS lignes FROM geo
+WHERE surface_reelle_bati > 0 AND nombre_pieces_principales > 0
+GROUP BY 1""")
+
 # --- models -----------------------------------------------------------------------------
 
 _XY = "valeur_fonciere, surface_reelle_bati"
@@ -644,6 +649,20 @@ sql("predicted_by_department", f"""
 SELECT departement, count(*) AS nb_reel, {even('avg(valeur_fonciere)', 2)} AS prix_reel, count(*) AS nb_predit,
        {even(f'avg({_P})', 2)} AS prix_predit
 FROM predicted GROUP BY 1 ORDER BY nb_reel DESC, departement LIMIT 10""")
+_BOTH = f"""(SELECT 'reel' AS source, valeur_fonciere AS prix FROM predicted
+ UNION ALL SELECT 'predit', {_P} FROM predicted)"""
+sql("predicted_histogram", _histogram(_BOTH, "source", "prix", 50, 4))
+
+
+def _line(name: str, price: str) -> str:
+    return f"""SELECT '{name}' AS source, {even('p', 3)} AS pente, {even('o', 3)} AS ordonnee, x_min, x_max,
+  {even('p * x_min + o', 3)} AS y_min, {even('p * x_max + o', 3)} AS y_max, {even('m', 3)} AS prix_m2_moyen
+FROM (SELECT regr_slope({price}, surface_reelle_bati) AS p, regr_intercept({price}, surface_reelle_bati) AS o,
+             min(surface_reelle_bati) AS x_min, max(surface_reelle_bati) AS x_max,
+             avg({price} / surface_reelle_bati) AS m FROM predicted)"""
+
+
+sql("predicted_line", f"{_line('reel', 'valeur_fonciere')} UNION ALL {_line('predit', _P)}")
 sql("department_list", f"SELECT DISTINCT substr({pad5('code_postal')}, 1, 2) AS departement FROM silver")
 
 # --- streaming --------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from parcelion.operators import clean, distribution, explore, features, gold, gr
 from parcelion.operators import segments as seg
 from parcelion.operators import silver as silver_ops
 from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
+from parcelion.plans import analysis
 from parcelion.plans.base import (
     bronze, second_segment, silver, stored_features, stored_segments, stored_silver,
 )
@@ -275,7 +276,7 @@ def kpi_top5(spark, sf):
 @query
 def kpi_key_values(spark, sf):
     rows = bronze(spark, sf).select("commune", _PRICE)
-    return kpis.key_values(rows, now=datetime(2025, 7, 1, 10, 0, 0))
+    return kpis.key_values(rows, now=datetime(2025, 7, 1, 10, tzinfo=timezone.utc))
 
 
 @query
@@ -787,6 +788,18 @@ def mutual_information(spark, sf):
     return _rounded(found, ["information"], 6)
 
 
+@query
+def prepared_lots(spark, sf):
+    """Rows per lot of all three segments, prepared one by one and put together."""
+    rows = stored_segments(spark, sf)
+    ready = [analysis.prepare(rows.where(F.col("segment") == s)) for s in (1, 2, 3)]
+    found = None
+    for name, lot in analysis.combined_lots(ready).items():
+        part = lot.agg(F.count(F.lit(1)).alias("lignes")).select(F.lit(name).alias("lot"), "lignes")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 # --- models -----------------------------------------------------------------------------
 
 
@@ -921,10 +934,7 @@ def model_log_target(spark, sf):
 
 
 def _projection(spark, sf) -> DataFrame:
-    rows = features.leak_free(stored_features(spark, sf))
-    return models.project(
-        rows, models.safe_lots(rows), PROJECTION_YEAR, models.random_forest(**FOREST)
-    )
+    return analysis.study(second_segment(spark, sf), PROJECTION_YEAR, models.random_forest(**FOREST))
 
 
 @query
@@ -999,6 +1009,24 @@ def predicted_by_department(spark, sf):
     return _rounded(models.department_comparison(both, both), ["prix_reel", "prix_predit"])
 
 
+@query
+def predicted_histogram(spark, sf):
+    """Observed and predicted prices in 50 bins each."""
+    both = stage_table(_predicted(spark, sf), "predicted")
+    found = distribution.histogram(models.stacked(both, both), ["source"], "prix", 50)
+    return _rounded(found, ["borne_min", "borne_max"], 4)
+
+
+@query
+def predicted_line(spark, sf):
+    """Price on surface, observed and predicted, with the mean price per square metre."""
+    both = stage_table(_predicted(spark, sf), "predicted")
+    rows = models.stacked(both, both).where(F.col(_SURFACE) > 0)
+    per_m2 = rows.groupBy("source").agg(F.avg(F.col("prix") / F.col(_SURFACE)).alias("prix_m2_moyen"))
+    found = distribution.linear_fit(rows, ["source"], _SURFACE, "prix").join(per_m2, "source")
+    return _rounded(found, ["pente", "ordonnee", "y_min", "y_max", "prix_m2_moyen"], 3)
+
+
 @query
 def department_list(spark, sf):
     """Sorted departments for the choice of one."""

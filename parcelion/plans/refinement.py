@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelion.operators import gold, graph, kpis
 from parcelion.operators.clean import clean
 from parcelion.operators.silver import to_silver
+from parcelion.session import released_after
 from parcelion.sources.raw import message_fields, scan_raw
 from parcelion.sources.tables import replace_months
 
@@ -44,9 +45,10 @@ def load_silver(
 def load_gold(spark: SparkSession, layers: Layers) -> gold.Star:
     """Silver to the stored star schema, the stored cube and the three views."""
     silver = spark.read.parquet(layers.path("silver")).drop("annee", "mois")
-    built = gold.build_star(silver)
-    for name, table in vars(built).items():
-        table.write.mode("overwrite").parquet(layers.path(f"gold/{name}"))
+    with released_after(spark):
+        built = gold.build_star(silver)
+        for name, table in vars(built).items():
+            table.write.mode("overwrite").parquet(layers.path(f"gold/{name}"))
     gold.sales_cube(silver).write.mode("overwrite").parquet(layers.path("gold/cube_ventes"))
     spark.read.parquet(layers.path("gold/cube_ventes")).createOrReplaceTempView("cube_ventes")
     star = gold.Star(**{name: spark.read.parquet(layers.path(f"gold/{name}")) for name in vars(built)})
@@ -57,11 +59,14 @@ def load_gold(spark: SparkSession, layers: Layers) -> gold.Star:
 def load_graph(spark: SparkSession, layers: Layers) -> graph.Graph:
     """Silver to the stored node and edge tables."""
     silver = spark.read.parquet(layers.path("silver")).drop("annee", "mois")
-    graph.save_graph(graph.build_graph(silver), layers.path("graph"))
+    with released_after(spark):
+        graph.save_graph(graph.build_graph(silver), layers.path("graph"))
     return graph.load_graph(spark, layers.path("graph"))
 
 
 def load_key_values(spark: SparkSession, layers: Layers) -> DataFrame:
     """Bronze to the stored key figures."""
-    kpis.save_key_values(kpis.key_values(spark.read.parquet(layers.path("bronze"))), layers.path("kpis"))
+    bronze = spark.read.parquet(layers.path("bronze"))
+    with released_after(spark):
+        kpis.save_key_values(kpis.key_values(bronze), layers.path("kpis"))
     return spark.read.parquet(layers.path("kpis"))

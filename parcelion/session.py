@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,4 +61,24 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Paths staged by this process, until they are released.
+_STAGED: list[str] = []
+
+
+@contextmanager
+def released_after(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends. For flows whose results are
+    written inside the block; a result that is still to be computed needs its tables."""
+    first = len(_STAGED)
+    try:
+        yield
+    finally:
+        paths, _STAGED[first:] = _STAGED[first:], []
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)

@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(table_schema(spark, sf_dir, name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when their files have fewer splits than the session has slots.
+
+    A small file is one row group, which one task would carry through all joins. Large
+    inputs have more splits than slots and stay as they are.
+    """
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots, *keys)
+
+
 def _comma_text(amount: Column) -> Column:
     return F.replace(amount.cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(","))
 
@@ -38,8 +48,11 @@ def raw_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
     sales = (
-        table(spark, sf_dir, "lineitem")
+        _spread(lines, "l_orderkey", "l_partkey", "l_linenumber")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcelion.functions.numeric import ordered_bin
+from parcelion.functions.numeric import with_ordered_bin
 from parcelion.operators import distribution as d
 
 QS = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
@@ -59,16 +59,17 @@ def test_several_columns_and_no_keys(spark):
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64), min_size=2, max_size=60))
 def test_bins_never_fall(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = sorted(df.select("v", ordered_bin(F.col("v")).alias("b")).collect(), key=lambda r: r.v)
+    rows = sorted(with_ordered_bin(df, "v", "b").collect(), key=lambda r: r.v)
     bins = [r.b for r in rows]
     assert bins == sorted(bins)
+    assert all(abs(r.edge) <= abs(r.v) and r.edge * r.v >= 0 for r in rows)
 
 
 def test_bins_are_ordered_around_powers_of_two(spark):
     values = [s * math.nextafter(2.0**e, t) for e in range(-1000, 1000, 37) for t in (0.0, math.inf) for s in (1, -1)]
     values += [s * 2.0**e for e in range(-1000, 1000, 37) for s in (1, -1)] + [0.0, math.inf, -math.inf]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = sorted(df.select("v", ordered_bin(F.col("v")).alias("b")).collect(), key=lambda r: r.v)
+    rows = sorted(with_ordered_bin(df, "v", "b").collect(), key=lambda r: r.v)
     assert [r.b for r in rows] == sorted(r.b for r in rows)
 
 

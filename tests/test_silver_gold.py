@@ -1,7 +1,7 @@
 """Duplicates, keys, star schema, graph and key figures."""
 
 import hashlib
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from parcelion.operators import gold, graph, kpis, silver
 
@@ -102,12 +102,12 @@ def test_graph_is_the_same_after_a_rerun_and_empty_after_a_wipe(spark, tmp_path)
 
 def test_key_figures(spark):
     rows = [sale(commune=c, price=p) for c, p in [("B", 1.0), ("B", 2.0), ("A", 3.0), ("A", 3.5), ("C", 4.0)]]
-    found = kpis.key_values(bronze(spark, rows), datetime(2025, 1, 1, 12), rows=2).collect()
+    found = kpis.key_values(bronze(spark, rows), datetime(2025, 1, 1, 12, tzinfo=timezone.utc), rows=2).collect()
     values = {(r.key, r.pos): r.value for r in found}
     assert values == {
         ("stat_total_documents", 0): "5", ("stat_moyenne_valeur_fonciere", 0): "2.7",
         ("last_update_stats", 0): "2025-01-01 13:00:00", ("top_communes", 0): "A (2)", ("top_communes", 1): "B (2)"}
-    empty = {r.key: r.value for r in kpis.key_values(bronze(spark, []), datetime(2025, 7, 1)).collect()}
+    empty = {r.key: r.value for r in kpis.key_values(bronze(spark, []), datetime(2025, 7, 1, tzinfo=timezone.utc)).collect()}
     assert empty == {"stat_total_documents": "0", "stat_moyenne_valeur_fonciere": "0.0", "last_update_stats": "2025-07-01 02:00:00"}
 
 
