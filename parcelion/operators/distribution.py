@@ -251,30 +251,33 @@ def exact_sample(df: DataFrame, keys: Sequence[str], identity: str, rows: int, s
     """Exactly ``rows`` rows per group (or all, if there are fewer), chosen by a salted
     digest of ``identity``: the same rows on every run and partitioning.
 
-    Rows are counted per five-digit digest prefix (at most 2^20 per group); running sums
-    give the last prefix that is needed. Only rows up to that prefix are ordered.
+    A first scan counts rows per five-digit digest prefix (at most 2^20 per group);
+    running sums give the last prefix that is needed. A second scan keeps the rows up to
+    that prefix, and only those are ordered. Pass a stored table.
     """
+    group = list(keys)
+    # Without keys all rows belong to one group.
+    same = group or [F.lit(0)]
     tagged = df.withColumn(
         "_digest", F.sha2(F.concat(F.col(identity), F.lit(f":{seed}")), 256)
     ).withColumn("_prefix", F.substring("_digest", 1, 5))
-    group = list(keys)
-    # Without keys all prefixes belong to one group.
-    same = group or [F.lit(0)]
-    upward = Window.partitionBy(*same).orderBy("_prefix").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    sizes = tagged.groupBy(*group, "_prefix").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*same).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     needed = (
-        sizes.withColumn("_before", F.sum("_size").over(upward) - F.col("_size"))
+        tagged.groupBy(*group, "_prefix")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
         .where(F.col("_before") < rows)
-        .select(*group, "_prefix")
     )
+    if group:
+        last = needed.groupBy(*group).agg(F.max("_prefix").alias("_last"))
+        near = tagged.join(stage_table(last, "prefixes"), group).where(F.col("_prefix") <= F.col("_last"))
+    else:
+        near = tagged.where(F.col("_prefix") <= F.lit(needed.agg(F.max("_prefix")).first()[0]))
     ordered = Window.partitionBy(*same).orderBy("_digest", identity)
     return (
-        tagged.join(needed, [*group, "_prefix"], "left_semi")
-        .withColumn("_place", F.row_number().over(ordered))
+        near.withColumn("_place", F.row_number().over(ordered))
         .where(F.col("_place") <= rows)
-        .drop("_digest", "_prefix", "_place")
+        .select(*df.columns)
     )
 
 

@@ -58,7 +58,8 @@ class CategoricalEncoder:
         flags: dict[str, Column] = {}
         for column, values in self.levels.items():
             for value in values:
-                flags[f"{column}_{value}"] = F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
+                # A dot in a column name would read as a path into a struct.
+                flags[f"{column}_{value.replace('.', '_')}"] = F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
             flags[f"{column}_{_MISSING}"] = F.col(column).isNull().cast("int")
         encoded = df.withColumns(flags).drop(*self.levels) if flags else df
         for column, table in self.codes.items():

@@ -177,18 +177,10 @@ def compare(models: Sequence[Fitted], rows: DataFrame, label: str = TARGET) -> D
 
 
 def leaderboard(scores: DataFrame, baseline: str = "Linear Regression") -> DataFrame:
-    """Models by RMSE with the gain in percent over the linear baseline. One row per
-    model."""
-    base = scores.where(F.col("modele") == baseline).select(
-        F.lit(1).alias("_one"), F.col("rmse").alias("_base")
-    )
-    return (
-        scores.withColumn("_one", F.lit(1))
-        .join(base, "_one", "left")
-        .withColumn("gain_pct", (F.col("_base") - F.col("rmse")) / F.col("_base") * 100)
-        .drop("_one", "_base")
-        .orderBy("rmse", "modele")
-    )
+    """Models by RMSE with the gain in percent over the linear baseline. The window holds
+    one row per model."""
+    base = F.max(F.when(F.col("modele") == baseline, F.col("rmse"))).over(Window.partitionBy(F.lit(1)))
+    return scores.withColumn("gain_pct", (base - F.col("rmse")) / base * 100).orderBy("rmse", "modele")
 
 
 def importances(fitted: Fitted, rows: int = 10) -> list[tuple[str, float]]:

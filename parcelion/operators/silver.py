@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelion.functions.numeric import single_precision
 from parcelion.functions.text import row_key
 from parcelion.schemas import DEDUP_KEY, SILVER
 
@@ -44,6 +45,21 @@ def duplicate_counts(bronze: DataFrame) -> DataFrame:
     )
 
 
+def retyped(bronze: DataFrame) -> DataFrame:
+    """Bronze types put in place again, for stores that hold other ones: a date out of a
+    timestamp, 32-bit precision in a double, 0 for missing numbers."""
+    return bronze.withColumns(
+        {
+            "date_mutation": F.to_date("date_mutation"),
+            "valeur_fonciere": single_precision(F.col("valeur_fonciere")),
+            "surface_reelle_bati": single_precision(F.col("surface_reelle_bati")),
+            "nombre_pieces_principales": F.coalesce(
+                F.col("nombre_pieces_principales").try_cast("int"), F.lit(0)
+            ),
+        }
+    )
+
+
 def to_silver(
     bronze: DataFrame,
     year_from: int = 2021,
@@ -55,7 +71,7 @@ def to_silver(
     The date belongs to the key, so duplicates over the whole window are those of each
     month.
     """
-    window = date_window(bronze, date(year_from, 1, 1), date(year_to, 1, 1))
+    window = date_window(retyped(bronze), date(year_from, 1, 1), date(year_to, 1, 1))
     today = F.current_date() if ingestion_date is None else F.lit(ingestion_date)
     return (
         drop_duplicates(window)

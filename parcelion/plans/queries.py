@@ -881,9 +881,10 @@ def model_test_score(spark, sf):
     """The forest on the test rows, with residual figures."""
     _, train, _, test, columns = _learning_rows(spark, sf)
     forest = models.fit("Random Forest", models.random_forest(**FOREST), train, columns)
-    scored = stage_table(forest.predict(test).select(_PRICE, "prediction"), "scored")
-    joined = models.metrics(scored).withColumn("_k", F.lit(1))
-    return joined.join(models.residuals(scored).withColumn("_k", F.lit(1)), "_k").drop("_k")
+    scored = stage_table(
+        forest.predict(test).select(F.lit("test").alias("lot"), _PRICE, "prediction"), "scored"
+    )
+    return models.metrics(scored, ["lot"]).join(models.residuals(scored, ["lot"]), "lot")
 
 
 @query

@@ -36,6 +36,15 @@ def rows_of(names, rows):
     return [names[i] for i in order], sorted(plain, key=lambda r: tuple((v is None, v or "") for v in r))
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def types_of(df, con, sql) -> str:
+    ours = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    theirs = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return "" if ours == theirs else f"types {set(ours.items()) ^ set(theirs.items())}"
+
+
 def compare(spark, con, sf_dir, query, sql) -> str:
     """Empty text when both results are the same, else what differs."""
     df = query(spark, sf_dir)
@@ -46,5 +55,7 @@ def compare(spark, con, sf_dir, query, sql) -> str:
         return f"columns {ours[0]} / {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):
         return f"rows {len(ours[1])} / {len(theirs[1])}"
+    if types_of(df, con, sql):
+        return types_of(df, con, sql)
     wrong = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b]
     return f"{len(wrong)} of {len(ours[1])} rows, first {wrong[0]} in {ours[0]}" if wrong else ""

@@ -120,6 +120,12 @@ def test_one_hot_for_few_levels_and_sorted_codes_for_many(spark):
     assert sorted(r.many_encoded for r in found) == sorted(want[v or "nan"] for _, v in rows)
 
 
+def test_level_names_with_a_dot_can_be_read(spark):
+    df = spark.createDataFrame([("Local industriel. commercial", 1), ("Maison", 2)], "kind string, i int")
+    out = encode.CategoricalEncoder.fit(df, ["kind"]).transform(df)
+    assert [tuple(r) for r in out.orderBy("i").select("kind_Local industriel_ commercial", "kind_Maison").collect()] == [(1, 0), (0, 1)]
+
+
 def test_scalers_match_numpy_and_survive_constants(spark):
     values = [1.0, 2.0, 4.0, 8.0, 16.0]
     df = spark.createDataFrame([(v, 3.0) for v in values], "x double, c double")

@@ -44,3 +44,12 @@ def test_layers_have_their_schemas(spark, sf):
     for name, schema in [("bronze_rows", schemas.BRONZE), ("silver_rows", schemas.SILVER), ("gold_transactions", schemas.TRANSACTIONS)]:
         found = queries()[name](spark, sf).schema
         assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in schema]
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, con, sf):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("date_parts", "kpi_key_values", "silver_rows"):
+            assert compare(spark, con, sf, queries()[name], oracle_sql()[name]) == ""
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

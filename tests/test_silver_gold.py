@@ -33,6 +33,16 @@ def test_key_hashes_the_double_and_skips_nulls(spark):
     assert keys[10.5] == sha("2021-05-01||75001||10.5||PARIS")
 
 
+def test_other_store_types_give_the_same_silver(spark):
+    df = bronze(spark, [sale(price=123456792.0), sale()])
+    other = df.selectExpr("*").withColumns({
+        "date_mutation": df.date_mutation.cast("timestamp"), "valeur_fonciere": df.valeur_fonciere.cast("string"),
+        "nombre_pieces_principales": df.nombre_pieces_principales.cast("long")})
+    one = silver.to_silver(df, 2021, 2024, date(2025, 1, 1))
+    two = silver.to_silver(other, 2021, 2024, date(2025, 1, 1))
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and one.dtypes == two.dtypes
+
+
 def test_hot_duplicates_are_combined_before_the_shuffle(spark):
     plan = silver.drop_duplicates(bronze(spark, [sale()]))._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
