@@ -1055,14 +1055,14 @@ def _ingested(spark, sf, stream: DataFrame) -> str:
 @query
 def stream_bronze(spark, sf):
     """Messages through the stream into stored bronze rows."""
-    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="2")
+    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="4")
     return ingest.stored_rows(spark, _ingested(spark, sf, ingest.bronze_stream(incoming)))
 
 
 @query
 def stream_audit(spark, sf):
     """Rows and state over all audited batches."""
-    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="2")
+    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="4")
     target = _ingested(spark, sf, ingest.bronze_stream(incoming))
     return ingest.audit_rows(spark, target).groupBy("status").agg(F.sum("rows").alias("lignes"))
 
@@ -1081,7 +1081,7 @@ def stream_without_replays(spark, sf):
 @query
 def stream_kpis(spark, sf):
     """Running count and mean price per commune."""
-    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="2")
+    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="4")
     target = fresh_path(spark, "live")
     figures = live.running_counts(ingest.bronze_stream(incoming))
     live.start_refresh(figures, f"{target}/kpis", f"{target}/offsets", None).awaitTermination()
