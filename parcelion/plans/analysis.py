@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -55,6 +56,17 @@ def prepare(segment: DataFrame, leak_free: bool = True) -> Prepared:
     )
 
 
+def prepare_all(segmented: DataFrame, numbers: Sequence[int] = (1, 2, 3), leak_free: bool = True) -> list[Prepared]:
+    """Each segment of a stored table prepared on its own. Their jobs are independent, so
+    they are submitted side by side and fill each other's gaps."""
+
+    def one(number: int) -> Prepared:
+        return prepare(segmented.where(F.col("segment") == number), leak_free)
+
+    with ThreadPoolExecutor(len(numbers)) as pool:
+        return list(pool.map(one, numbers))
+
+
 def combined_lots(prepared: Sequence[Prepared], common_only: bool = True) -> dict[str, DataFrame]:
     """Lots of several segments put together, over common columns or over all with 0."""
     return {

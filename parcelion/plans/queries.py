@@ -791,8 +791,7 @@ def mutual_information(spark, sf):
 @query
 def prepared_lots(spark, sf):
     """Rows per lot of all three segments, prepared one by one and put together."""
-    rows = stored_segments(spark, sf)
-    ready = [analysis.prepare(rows.where(F.col("segment") == s)) for s in (1, 2, 3)]
+    ready = analysis.prepare_all(stored_segments(spark, sf))
     found = None
     for name, lot in analysis.combined_lots(ready).items():
         part = lot.agg(F.count(F.lit(1)).alias("lignes")).select(F.lit(name).alias("lot"), "lignes")
