@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import CLOSE, CONTROL, ESCAPES, MIDDLE, OPEN
 from .decontaminate import WINDOW
+from .jaccard import SHINGLE
 from .lines import MIN_CHARS, MIN_DOCS
 from .mixing import BLOCK_ROWS
 
@@ -104,6 +105,27 @@ FROM marked GROUP BY doc_id
 """
 
 
+_TOKENS = r"[^\x20\x09-\x0D]+"
+
+JACCARD = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_TOKENS}') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + {SHINGLE - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)
+),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+FROM w JOIN reach ON w.doc_id = reach.x LEFT JOIN sizes ON w.doc_id = sizes.doc_id GROUP BY w.doc_id
+"""
+
+
 def _escaped(text: str, role: bool = False) -> str:
     for mark, written in ESCAPES if role else ESCAPES[:3]:
         text = f"replace({text}, {_quoted(mark)}, {_quoted(written)})"
@@ -144,5 +166,6 @@ def oracle() -> dict[str, str]:
         "op1_mixing": mixing_sql(SOURCE_WEIGHTS, OTHER_WEIGHT),
         "op2_decontamination": DECONTAMINATION,
         "op4_line_dedup": LINE_DEDUP,
+        "op5_jaccard_join": JACCARD,
         "op9_chat_format": _chat_sql(),
     }
