@@ -126,6 +126,21 @@ FROM w JOIN reach ON w.doc_id = reach.x LEFT JOIN sizes ON w.doc_id = sizes.doc_
 """
 
 
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+
 def _escaped(text: str, role: bool = False) -> str:
     for mark, written in ESCAPES if role else ESCAPES[:3]:
         text = f"replace({text}, {_quoted(mark)}, {_quoted(written)})"
@@ -167,5 +182,6 @@ def oracle() -> dict[str, str]:
         "op2_decontamination": DECONTAMINATION,
         "op4_line_dedup": LINE_DEDUP,
         "op5_jaccard_join": JACCARD,
+        "op6_topk_search": TOP_K,
         "op9_chat_format": _chat_sql(),
     }
