@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, lines, mixing, search
+from . import chat, cross_entropy, decontaminate, jaccard, lines, mixing, quality, search, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,20 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op7_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    target = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0")
+    return cross_entropy.score_documents(_table(spark, sf_dir, "documents"), target).drop("text_hash")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), token_counts.read_vocabulary())
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("\\### Assistant: </turn> ok")
@@ -81,5 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_topk_search": op6_topk_search,
+    "op7_cross_entropy": op7_cross_entropy,
+    "op8_token_counts": op8_token_counts,
+    "op10_quality": op10_quality,
     "op9_chat_format": op9_chat_format,
 }

@@ -85,17 +85,17 @@ class Words:
     """All words of a column, in order.
 
     ``hashes``, ``starts`` and ``ends`` (byte offsets into ``data``) have an entry per word;
-    the words of row i are ``bounds[i]`` to ``bounds[i + 1]``. A-Z count as a-z.
+    the words of row i are ``bounds[i]`` to ``bounds[i + 1]``. A-Z count as a-z unless ``fold`` is off.
     """
 
-    def __init__(self, column: pa.Array, is_word: np.ndarray):
+    def __init__(self, column: pa.Array, is_word: np.ndarray, fold: bool = True):
         self.data, self.offsets = utf8(column)
         hashes, starts, ends = [], [], []
         begin = 0
         while begin < len(self.data):
             end = _cut(self.data, begin, is_word)
-            piece = LOWER[self.data[begin:end]]
-            inside = is_word[piece]
+            piece = LOWER[self.data[begin:end]] if fold else self.data[begin:end]
+            inside = is_word[LOWER[piece]]
             first = inside.copy()
             first[1:] &= ~inside[:-1]
             last = inside.copy()
@@ -122,9 +122,6 @@ class Words:
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
-    def word(self, index: int) -> bytes:
-        return LOWER[self.data[self.starts[index] : self.ends[index]]].tobytes()
-
 
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` words; one shorter than the input by n - 1."""
