@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cross_entropy, decontaminate, jaccard, lines, mixing, quality, search, token_counts
+from . import chat, cross_entropy, decontaminate, jaccard, lines, mixing, passages, quality, search, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.clean_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -92,6 +96,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
+    "op3_passages": op3_passages,
     "op4_line_dedup": op4_line_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_topk_search": op6_topk_search,

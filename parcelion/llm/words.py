@@ -53,10 +53,13 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts and the offset of each; null is empty."""
+    """Bytes of all texts (strings or binary) and the offset of each; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    else:
+        column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
