@@ -12,7 +12,8 @@ The benchmark is the stated query set: it is sent to the tasks in blocks of at m
 Defined results: null or empty texts have no words and no items; repeated document rows are
 reported each; benchmark rows with one item id are one item; a null item id reads as "null"; an
 empty benchmark leaves all documents clean; an empty table gives an empty result. Words never span
-two documents. Documents' further columns pass through unless named like ``report``, which is an error.
+two documents. Documents' further columns pass through; where one is named like the report, that gets
+underscores before its name.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from parcelion.session import stage_table
 
+from .columns import free_name
 from .words import ALPHANUMERIC, LOWER, Words, batches
 
 WINDOW = 10
@@ -257,10 +259,9 @@ def find_matches(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``docs`` with a struct column ``report``: n_words, spans of hit words, ids of the items with
+    """``docs`` with a struct column ``report`` as its last: n_words, spans of hit words, ids of the items with
     occurring windows, and the longest verbatim match in words (from the first place of each window)."""
-    if report in docs.columns:
-        raise ValueError(f"column {report} is added here; choose another name for the report")
+    report = free_name(docs.columns, report)
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     items = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("string").alias("text")
@@ -278,8 +279,6 @@ def find_matches(
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents in which no benchmark window occurs, with their columns unchanged."""
-    report = "contamination"
-    while report in docs.columns:
-        report = f"_{report}"
-    found = find_matches(docs, benchmark, text_col, report=report)
+    found = find_matches(docs, benchmark, text_col)
+    report = found.columns[-1]
     return found.filter(F.size(f"{report}.items") == 0).drop(report)

@@ -6,8 +6,8 @@ largest document id that holds them, and each document drops the marked lines it
 
 Defined results: null or empty text is one empty line; a null id is a document of its own
 and the smallest id; rows that repeat an id are one document for counting, and each row is cleaned;
-an empty table gives an empty result. Columns besides id and text pass through ``clean_lines``
-whatever their names, unless they are one of the added names, which is an error.
+an empty table gives an empty result. Columns besides id and text pass through ``clean_lines``; where
+one is named like an added column, that one gets underscores before its name.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelion.session import stage_table
+
+from .columns import free_name
+
 MIN_CHARS = 20
 MIN_DOCS = 3
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -83,27 +87,26 @@ def clean_lines(
     min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """All columns of ``docs`` with ``text_col`` cleaned, and ``n_lines`` (before), ``n_dropped``
-    and ``kept_sha256`` (of the cleaned text). A row that loses no line keeps its text as it is,
+    and ``kept_sha256`` (of the cleaned text) as its last three. A row that loses no line keeps its text as it is,
     null included."""
-    added = ["n_lines", "n_dropped", "kept_sha256"]
-    if clash := {"__drop", *added} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added here; rename them first")
     hashes = line_hashes(docs, id_col, text_col, min_chars)
     drop = (
         hashes.join(shared_lines(hashes, min_docs), "hash")
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id")
-        .agg(F.collect_set("hash").alias("__drop"))
+        .agg(F.collect_set("hash").alias("hashes"))
     )
-    marked = docs.join(drop, docs[id_col].eqNullSafe(drop["id"]), "left").drop(drop["id"])
+    key, marks = free_name(docs.columns, "line_doc"), free_name(docs.columns, "line_marks")
+    drop = drop.select(F.col("id").alias(key), F.col("hashes").alias(marks))
+    marked = docs.join(drop, F.col(id_col).eqNullSafe(F.col(key)), "left").drop(key)
     marked = marked.withColumn(text_col, F.col(text_col).cast("string"))
     at = marked.columns.index(text_col)
-    kept_fields = [f for f in marked.schema.fields if f.name != "__drop"]
+    added = [("n_lines", T.LongType()), ("n_dropped", T.LongType()), ("kept_sha256", T.StringType())]
     schema = T.StructType([
-        *kept_fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
-        T.StructField("kept_sha256", T.StringType()),
+        *(f for f in marked.schema.fields if f.name != marks), *(T.StructField(free_name(docs.columns, n), kind) for n, kind in added),
     ])
-    drop_at = marked.columns.index("__drop")
+    names = schema.fieldNames()
+    drop_at = marked.columns.index(marks)
 
     def reassemble(stream):
         for batch in stream:
@@ -125,6 +128,6 @@ def clean_lines(
             columns += [
                 pa.array(np.array(total, np.int64)), pa.array(np.array(dropped, np.int64)), pa.array(digests, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return marked.mapInArrow(reassemble, schema)

@@ -13,8 +13,8 @@ Sources without a weight of their own, null among them, are one group with ``def
 period, the phases and what is broadcast are bounded by the given weights alone.
 
 Defined results: documents with null id come first in their block order; repeated rows take
-places of their own; an empty table gives an empty result; other columns pass through, unless named like one of
-``PLACES``, which is an error. Only DataFrame functions handle rows.
+places of their own; an empty table gives an empty result; other columns pass through, and where one is
+named like one of ``PLACES``, the added column gets underscores before its name. Only DataFrame functions handle rows.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import free_name
+
 BLOCK_ROWS = 16
 RESOLUTION = 1000
 _BUCKET_ROWS = 1 << 16
@@ -91,9 +93,7 @@ def mix_sources(
     block_rows: int = BLOCK_ROWS,
     seed: str = "mix",
 ) -> DataFrame:
-    """``docs`` with ``block`` (number within the source), ``slot``, ``release``, ``deadline`` and ``position`` (0, 1, ...)."""
-    if clash := {*PLACES} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} are added here; rename them first")
+    """``docs`` and, as the last columns, ``block`` (number within the source), ``slot``, ``release``, ``deadline`` and ``position`` (0, 1, ...)."""
     spark = docs.sparkSession
     names = sorted(weights)
     numbers = whole_weights([*(weights[name] for name in names), default_weight])
@@ -137,24 +137,24 @@ def mix_sources(
         lasts.append({"slot": slot, "missing": blocks[g] * block_rows - counts[g]})
 
     placed = numbered.join(F.broadcast(table), "__g")
-    placed = placed.withColumn("block", F.floor(F.col("__row") / block_rows).cast("long"))
+    placed = placed.withColumn("__block", F.floor(F.col("__row") / block_rows).cast("long"))
     placed = placed.withColumn(
-        "__phase", F.element_at(F.filter("__phases", lambda p: p["first_block"] <= F.col("block")), -1)
+        "__phase", F.element_at(F.filter("__phases", lambda p: p["first_block"] <= F.col("__block")), -1)
     )
-    k, phase = F.col("block") - F.col("__phase.first_block"), F.col("__phase")
+    k, phase = F.col("__block") - F.col("__phase.first_block"), F.col("__phase")
     # Whole-number division: the quotient is exact below 2**53.
     div = lambda a, b: (a - F.pmod(a, b)) / b
     placed = placed.withColumns({
-        "slot": (phase["first_slot"] + div(k, phase["weight"]) * phase["total"]
+        "__slot": (phase["first_slot"] + div(k, phase["weight"]) * phase["total"]
                  + F.get(phase["slots"], F.pmod(k, phase["weight"]).cast("int"))).cast("long"),
-        "release": (phase["first_slot"] + div(k * phase["total"], phase["weight"])).cast("long"),
-        "deadline": (phase["first_slot"] + div((k + 1) * phase["total"] + phase["weight"] - 1, phase["weight"])).cast("long"),
+        "__release": (phase["first_slot"] + div(k * phase["total"], phase["weight"])).cast("long"),
+        "__deadline": (phase["first_slot"] + div((k + 1) * phase["total"] + phase["weight"] - 1, phase["weight"])).cast("long"),
     })
     missing = F.aggregate(
-        F.filter(_literal(lasts, "ARRAY<STRUCT<slot BIGINT, missing BIGINT>>"), lambda x: x["slot"] < F.col("slot")),
+        F.filter(_literal(lasts, "ARRAY<STRUCT<slot BIGINT, missing BIGINT>>"), lambda x: x["slot"] < F.col("__slot")),
         F.lit(0).cast("long"), lambda total, x: total + x["missing"],
     )
     placed = placed.withColumn(
-        "position", (F.col("slot") * block_rows - missing + F.col("__row") - F.col("block") * block_rows).cast("long")
+        "__position", (F.col("__slot") * block_rows - missing + F.col("__row") - F.col("__block") * block_rows).cast("long")
     )
-    return placed.select(*docs.columns, *PLACES)
+    return placed.select(*docs.columns, *[F.col(f"__{name}").alias(free_name(docs.columns, name)) for name in PLACES])
