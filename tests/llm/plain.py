@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections import Counter
 from itertools import combinations
 
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -104,11 +103,6 @@ def best_cut(word: bytes, scores: dict, missing: float):
     return best[-1][1]
 
 
-def top_words(texts, pattern, size):
-    counts = Counter(word for text in texts for word in re.findall(pattern, text))
-    return counts, size
-
-
 def prose(seed, words, vocabulary=3000):
     rng = random.Random(seed)
     return " ".join(f"w{int(rng.paretovariate(0.7)) % vocabulary}x{rng.randrange(40)}" for _ in range(words))
