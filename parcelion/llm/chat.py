@@ -3,7 +3,7 @@
     conversation := turn*
     turn         := "### " role ": " body " </turn>" newline
 
-A body is written as it is unless reading the turn back gives something else (or the body holds a
+Role and body are written as they are unless reading the turn back gives something else (or one of them holds a
 control string, which the parser refuses); then role and body are escaped and read back again.
 Escapes are a backslash and a letter, so that an escaped text holds neither "<" nor "#", and an
 escaped role no ":". Only DataFrame functions are used.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
-# Control strings that may not stand in a body.
+# Control strings that may not stand in a role or body.
 CONTROL = ["</turn>", "###"]
 # Character and its escape; the backslash comes first when escaping and last when reading.
 ESCAPES = [("\\", "\\b"), ("<", "\\l"), ("#", "\\h"), (":", "\\c")]
@@ -45,10 +45,11 @@ def parse_turn(turn: Column) -> Column:
     """Struct (role, text) of a turn without its closing mark; null when it is no turn."""
     header = F.substring_index(turn, MIDDLE, 1)
     body = F.substr(turn, F.char_length(header) + len(MIDDLE) + 1)
-    refused = reduce(lambda out, mark: out | F.contains(body, F.lit(mark)), CONTROL, F.lit(False))
+    role = F.substr(header, F.lit(len(OPEN) + 1))
+    refused = reduce(lambda out, mark: out | F.contains(body, F.lit(mark)) | F.contains(role, F.lit(mark)), CONTROL, F.lit(False))
     return F.when(
         F.startswith(turn, F.lit(OPEN)) & F.contains(turn, F.lit(MIDDLE)) & ~refused,
-        F.struct(unescape(F.substr(header, F.lit(len(OPEN) + 1))).alias("role"), unescape(body).alias("text")),
+        F.struct(unescape(role).alias("role"), unescape(body).alias("text")),
     )
 
 

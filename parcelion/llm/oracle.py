@@ -151,7 +151,7 @@ def _chat_sql() -> str:
     unread = "text"
     for mark, written in ESCAPES[::-1]:
         unread = f"replace({unread}, {_quoted(written)}, {_quoted(mark)})"
-    odd = " OR ".join([*(f"contains(text, {_quoted(m)})" for m in CONTROL), f"{unread} <> text"])
+    odd = " OR ".join([*(f"contains({side}, {_quoted(m)})" for m in CONTROL for side in ("text", "role")), f"{unread} <> text"])
     odd += f" OR contains(role, {_quoted(MIDDLE)}) OR " + " OR ".join(f"contains(role, {_quoted(w)})" for _, w in ESCAPES)
     fixed = len(OPEN) + len(MIDDLE) + len(CLOSE)
     said = _quoted("\\### Assistant: </turn> ok")
