@@ -33,18 +33,26 @@ class CategoricalEncoder:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str] | None = None, one_hot: int = ONE_HOT_LEVELS):
-        """Counts the levels of all columns in one pass; ``one_hot=0`` codes them all."""
+        """One pass gives the distinct (column, level) pairs, combined before the shuffle;
+        levels are counted and coded from those. ``one_hot=0`` codes all columns."""
         chosen = categorical_columns(df) if columns is None else columns
-        counts = df.agg(*[F.count_distinct(c).alias(c) for c in chosen]).first()
-        few = [c for c in chosen if counts[c] <= one_hot]
-        levels = {}
+        if not chosen:
+            return cls()
+        cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("level")) for c in chosen])
+        pairs = stage_table(df.select(F.inline(cells)).distinct(), "levels")
+        counts = {r["variable"]: r["n"] for r in pairs.groupBy("variable").agg(F.count("level").alias("n")).collect()}
+        few = [c for c in chosen if counts.get(c, 0) <= one_hot]
+        levels: dict[str, list[str]] = {c: [] for c in few}
         if few:
-            # collect_set holds at most ``one_hot`` values per column here.
-            seen = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first()
-            levels = {c: list(seen[c]) for c in few}
+            # At most ``one_hot`` rows per column.
+            known = pairs.where(F.col("variable").isin(few) & F.col("level").isNotNull())
+            for row in known.orderBy("variable", "level").collect():
+                levels[row["variable"]].append(row["level"])
         codes = {
             c: stage_table(
-                dense_codes(df.select(F.coalesce(c, F.lit(_MISSING)).alias(c)), c, f"{c}_encoded"),
+                dense_codes(
+                    pairs.where(F.col("variable") == c).select(F.coalesce("level", F.lit(_MISSING)).alias(c)), c, f"{c}_encoded"
+                ),
                 "codes",
             )
             for c in chosen
@@ -52,15 +60,28 @@ class CategoricalEncoder:
         }
         return cls(levels, codes)
 
+    def flag_names(self, column: str) -> dict[str | None, str]:
+        """One-hot column of each level and of a missing value (None). A dot in a name would
+        read as a path into a struct; levels that differ by it only get numbered names."""
+        names: dict[str | None, str] = {}
+        for value in [None, *self.levels[column]]:
+            name = base = f"{column}_{_MISSING if value is None else value.replace('.', '_')}"
+            number = 1
+            while name in names.values():
+                number += 1
+                name = f"{base}_{number}"
+            names[value] = name
+        return names
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Encoded columns in place of the categorical ones. A level not seen when
         fitting is 0 in every one-hot column and NULL as a code."""
         flags: dict[str, Column] = {}
         for column, values in self.levels.items():
+            names = self.flag_names(column)
             for value in values:
-                # A dot in a column name would read as a path into a struct.
-                flags[f"{column}_{value.replace('.', '_')}"] = F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
-            flags[f"{column}_{_MISSING}"] = F.col(column).isNull().cast("int")
+                flags[names[value]] = F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
+            flags[names[None]] = F.col(column).isNull().cast("int")
         encoded = df.withColumns(flags).drop(*self.levels) if flags else df
         for column, table in self.codes.items():
             encoded = (

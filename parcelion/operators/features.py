@@ -22,7 +22,7 @@ _ROOMS = "nombre_pieces_principales"
 SURFACE_CLASSES = [(50, "Très petit"), (100, "Petit"), (150, "Moyen"), (200, "Grand")]
 LARGEST_CLASS = "Très grand"
 
-# Features computed from the price of the row itself or of the whole set.
+# Features computed from the price of the row itself or of the whole set.
 TARGET_DERIVED = [
     "prix_m2", "ratio_prix_dept", "dept_valeur_fonciere_mean", "dept_valeur_fonciere_median",
     "dept_valeur_fonciere_std", "dept_prix_x_surface",
@@ -173,17 +173,25 @@ def split_dates(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def date_like(df: DataFrame, columns: list[str], sample: int = 10) -> list[str]:
-    """Text columns whose first non-empty value reads as a date: looks at ``sample``
-    rows per column."""
+    """Text columns whose ``sample`` smallest values all read as dates: whatever the
+    partitioning, the same values decide."""
     found = []
     for column in columns:
-        values = df.where(F.col(column).isNotNull()).select(column).limit(sample)
-        first = values.select(F.col(column).try_cast("timestamp").alias("t")).first()
-        if first is not None and first["t"] is not None:
+        values = df.where(F.col(column).isNotNull()).select(column).orderBy(column).limit(sample)
+        read = values.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(column).try_cast("timestamp")).alias("dates")).first()
+        if read["n"] and read["n"] == read["dates"]:
             found.append(column)
     return found
 
 
+def dates_found(df: DataFrame, columns: list[str], sample: int = 10) -> DataFrame:
+    """Text columns that read as dates (see :func:`date_like`) turned into date parts;
+    values that do not read as a date give NULL parts."""
+    found = date_like(df, columns, sample)
+    typed = df.withColumns({c: F.col(c).try_cast("timestamp") for c in found}) if found else df
+    return split_dates(typed, found)
+
+
 def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
     """Columns of a numeric type."""
     kinds = {"tinyint", "smallint", "int", "bigint", "float", "double"}
@@ -249,16 +257,15 @@ def column_quantiles(df: DataFrame, columns: list[str], quantiles: tuple[float,
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing and infinite numbers replaced by the column's exact median.
+    """Missing and infinite numbers replaced by the column's exact median; the columns are
+    doubles, whether or not a value is missing.
 
     Only columns that miss a value enter the median job.
     """
     tidy = finite(df, columns)
     misses = tidy.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns]).first()
     gaps = [c for c in columns if misses[c] > 0]
-    if not gaps:
-        return tidy
-    medians = {c: m[0] for c, m in column_quantiles(tidy, gaps, (0.5,)).items()}
+    medians = {c: m[0] for c, m in column_quantiles(tidy, gaps, (0.5,)).items()} if gaps else {}
     return tidy.withColumns(
-        {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians[c])) for c in gaps if c in medians}
+        {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians.get(c)).cast("double")) for c in columns}
     )

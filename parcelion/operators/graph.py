@@ -51,7 +51,8 @@ def graph_rows(silver: DataFrame) -> DataFrame:
 
 def build_graph(silver: DataFrame) -> Graph:
     """Merged nodes and edges, and one sale node with its edge per row. The content key
-    of a row is its node id, so a rerun builds the same graph.
+    of a row is its node id, so a rerun builds the same graph. The edge carries date and
+    price of its sale: paths read one table, and rows that share a key stay single.
 
     Natures, types and communes come out of the two edge tables, which are distinct
     already: one pass over silver for all five small tables.
@@ -65,7 +66,7 @@ def build_graph(silver: DataFrame) -> Graph:
         nodes_mutation=rows.select(F.col("mutation_id").alias("id"), "date", "valeur"),
         a_pour_type=triples.select("nature", "type").distinct(),
         a_pour_lieu=triples.select("type", "commune").distinct(),
-        a_enregistre=rows.select("commune", "mutation_id"),
+        a_enregistre=rows.select("commune", "mutation_id", "date", "valeur"),
     )
 
 
@@ -90,10 +91,9 @@ def wipe_graph(spark: SparkSession, path: str) -> None:
 
 
 def sales(graph: Graph) -> DataFrame:
-    """Edge and node of every sale: (commune, id, date, valeur)."""
-    return graph.a_enregistre.join(
-        graph.nodes_mutation, F.col("mutation_id") == F.col("id")
-    ).select("commune", "id", "date", "valeur")
+    """Every sale with its commune: (commune, id, date, valeur). A filter on the commune
+    reaches the scan."""
+    return graph.a_enregistre.select("commune", F.col("mutation_id").alias("id"), "date", "valeur")
 
 
 def _routes(graph: Graph, nature: str | None, type_name: str | None, commune: str | None) -> DataFrame:

@@ -13,7 +13,6 @@ SEGMENTS = [
     (2, 470_000.0, 1_300_000.0),
     (3, 1_300_000.0, 2_000_000.0),
 ]
-SEGMENT_NAMES = {1: "Standard (10k-500k)", 2: "Haut gamme (500k-1.3M)", 3: "Ultra (1.3M-2M)"}
 FIRST_CUT = 500_000_000.0
 SECOND_CUT = 2_000_000.0
 

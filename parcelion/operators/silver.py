@@ -18,11 +18,6 @@ def date_window(bronze: DataFrame, start: date, end: date) -> DataFrame:
     return bronze.where((day >= F.lit(start)) & (day < F.lit(end)))
 
 
-def month_bounds(year: int, month: int) -> tuple[date, date]:
-    """Half-open bounds of one month."""
-    return date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
-
-
 def drop_duplicates(bronze: DataFrame) -> DataFrame:
     """One row per key of date, postal code, price, commune and type.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -64,7 +65,8 @@ def prepare_all(segmented: DataFrame, numbers: Sequence[int] = (1, 2, 3), leak_f
         return prepare(segmented.where(F.col("segment") == number), leak_free)
 
     with ThreadPoolExecutor(len(numbers)) as pool:
-        return list(pool.map(one, numbers))
+        runs = [pool.submit(copy_context().run, one, number) for number in numbers]
+        return [run.result() for run in runs]
 
 
 def combined_lots(prepared: Sequence[Prepared], common_only: bool = True) -> dict[str, DataFrame]:

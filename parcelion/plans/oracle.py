@@ -6,7 +6,7 @@ expressions. Iterative and random operators have no counterpart here.
 
 from __future__ import annotations
 
-from parcelion.plans.queries import COMMUNE, CUBE_YEAR, PROJECTION_YEAR
+from parcelion.plans.queries import COMMUNE, CUBE_YEAR, POSTAL_CODE, PROJECTION_YEAR
 
 ORACLE: dict[str, str] = {}
 
@@ -45,9 +45,13 @@ _STATS = ", ".join(
 
 LAYERS = f"""
 WITH fields AS (
-  SELECT strftime(o_orderdate, '%d/%m/%Y') AS date_mutation,
+  SELECT CASE WHEN l_linenumber = 6 AND l_partkey % 40 = 0 THEN 'inconnue'
+              ELSE strftime(o_orderdate, '%d/%m/%Y') END AS date_mutation,
          o_orderpriority AS nature_mutation,
          CASE WHEN l_linenumber = 7 THEN NULL
+              WHEN l_linenumber = 5 AND l_partkey % 20 = 0 THEN '470000.00'
+              WHEN l_linenumber = 5 AND l_partkey % 20 = 5 THEN '1300000.00'
+              WHEN l_linenumber = 5 AND l_partkey % 20 = 10 THEN '600000000.00'
               ELSE CAST(CAST(l_extendedprice * 20 AS DECIMAL(12,2)) AS VARCHAR) END AS valeur_fonciere,
          CAST(1000 + c_nationkey * 1000 + c_custkey % 90 AS VARCHAR) AS code_postal,
          n_name || '-' || CAST(c_custkey % 10 AS VARCHAR) AS commune,
@@ -63,7 +67,7 @@ WITH fields AS (
   JOIN nation ON c_nationkey = n_nationkey
 ),
 typed AS (
-  SELECT CAST(strptime(date_mutation, '%d/%m/%Y') AS DATE) AS date_mutation, nature_mutation,
+  SELECT CAST(try_strptime(date_mutation, '%d/%m/%Y') AS DATE) AS date_mutation, nature_mutation,
          CAST(CAST(valeur_fonciere AS FLOAT) AS DOUBLE) AS valeur_fonciere, code_postal, commune, type_local,
          CAST(CAST(surface_reelle_bati AS FLOAT) AS DOUBLE) AS surface_reelle_bati,
          nombre_pieces_principales, fichier_source
@@ -75,8 +79,9 @@ bronze AS (
                     coalesce(nombre_pieces_principales, 0) AS nombre_pieces_principales)
   FROM typed
 ),
+dated AS (SELECT * FROM bronze WHERE date_mutation IS NOT NULL),
 three_years AS (
-  SELECT * FROM bronze WHERE date_mutation >= DATE '1996-01-01' AND date_mutation < DATE '1999-01-01'
+  SELECT * FROM dated WHERE date_mutation >= DATE '1996-01-01' AND date_mutation < DATE '1999-01-01'
 ),
 kept AS (
   SELECT * EXCLUDE (place) FROM (
@@ -84,13 +89,14 @@ kept AS (
              PARTITION BY date_mutation, code_postal, valeur_fonciere, commune, type_local
              ORDER BY nature_mutation, surface_reelle_bati, nombre_pieces_principales, fichier_source
            ) AS place
-    FROM three_years)
+    FROM dated)
   WHERE place = 1
 ),
 silver AS (
   SELECT *, DATE '2025-01-01' AS part_date,
          sha256(concat_ws('||', CAST(date_mutation AS VARCHAR), code_postal,
-                          CAST(valeur_fonciere AS VARCHAR), commune, type_local)) AS id_unique
+                          CASE WHEN valeur_fonciere = 600000000 THEN '6.0E8' ELSE CAST(valeur_fonciere AS VARCHAR) END,
+                          commune, type_local)) AS id_unique
   FROM kept
 ),
 d_commune AS (
@@ -129,6 +135,7 @@ g_path AS (
 bounds AS (
   SELECT * FROM (VALUES (1, 10000.0, 470000.0), (2, 470000.0, 1300000.0), (3, 1300000.0, 2000000.0)) t(segment, low, high)
 ),
+first_cut AS (SELECT * FROM silver WHERE valeur_fonciere <= 500000000),
 cut AS (SELECT * FROM silver WHERE valeur_fonciere <= 2000000),
 seg AS (
   SELECT c.*, CAST(b.segment AS INTEGER) AS segment FROM cut c JOIN bounds b ON c.valeur_fonciere BETWEEN b.low AND b.high
@@ -233,8 +240,10 @@ sql("bronze_appended", "SELECT fichier_source, 2 * count(*) AS lignes FROM bronz
 sql("defaults_filled", """
 SELECT date_mutation, commune, valeur_fonciere, surface_reelle_bati, nombre_pieces_principales FROM bronze""")
 sql("dates_repaired", """
-SELECT count(*) FILTER (type_local <> '') AS modifies, count(*) FILTER (type_local = '') AS ignores FROM fields""")
-sql("silver_rows", "SELECT * FROM silver")
+SELECT count(*) FILTER (type_local <> '' AND date_mutation <> 'inconnue') AS modifies,
+       count(*) FILTER (type_local = '' OR date_mutation = 'inconnue') AS ignores FROM fields""")
+sql("silver_rows", """
+SELECT * FROM silver WHERE date_mutation >= DATE '1996-01-01' AND date_mutation < DATE '1999-01-01'""")
 sql("silver_duplicates", """
 SELECT annee, lignes, gardees
 FROM (SELECT CAST(year(date_mutation) AS INTEGER) AS annee, count(*) AS lignes FROM three_years GROUP BY 1)
@@ -309,8 +318,8 @@ for _name, _column, _end in [
     ("frequent_natures", "nature_mutation", ""),
 ]:
     sql(_name, f"SELECT {_column} AS valeur, count(*) AS effectif FROM silver GROUP BY 1 {_end}")
-sql("lookup_postal_code", "SELECT * FROM silver WHERE code_postal = '4010' ORDER BY id_unique LIMIT 100")
-sql("lookup_commune", "SELECT * FROM silver WHERE commune ILIKE '%nited_k%' ORDER BY id_unique LIMIT 100")
+sql("lookup_postal_code", f"SELECT * FROM silver WHERE code_postal = '{POSTAL_CODE}' ORDER BY id_unique LIMIT 100")
+sql("lookup_commune", "SELECT * FROM silver WHERE commune ILIKE '%ation_1%' ORDER BY id_unique LIMIT 100")
 
 # --- graph ------------------------------------------------------------------------------
 
@@ -429,7 +438,7 @@ FROM (SELECT *, least(floor((v - mn) / (mx - mn) * {bins}), {bins - 1}) AS i, (m
 GROUP BY 1"""
 
 
-sql("histogram_100", _histogram("silver", "", "valeur_fonciere", 100))
+sql("histogram_100", _histogram("first_cut", "", "valeur_fonciere", 100))
 sql("histogram_segment_50", _histogram("tidy", "segment", "valeur_fonciere", 50))
 sql("histogram_surface", _histogram("ranged", "segment", "surface_reelle_bati", 100))
 sql("histogram_log_price", _histogram("tidy", "segment", "ln(valeur_fonciere)", 50, 6))
@@ -449,7 +458,7 @@ FROM {source} s JOIN (SELECT {by}{_STATS.format(v=value)} FROM {source} {group})
 {f'GROUP BY s.{keys}' if keys else ''}"""
 
 
-sql("box_price", _box("silver", "", "valeur_fonciere"))
+sql("box_price", _box("first_cut", "", "valeur_fonciere"))
 sql("box_segment_price", _box("tidy", "segment", "valeur_fonciere"))
 sql("box_surface", _box("cut", "", "surface_reelle_bati"))
 
@@ -634,7 +643,7 @@ SELECT {even(f'quantile_cont({_P}, 0.5)', 2)} AS mediane, {even(f'avg({_P})', 2)
 _TOP10 = """(SELECT * FROM predicted WHERE departement IN (
   SELECT departement FROM predicted GROUP BY 1 ORDER BY count(*) DESC, departement LIMIT 10))"""
 sql("predictions_box_top10", f"""
-SELECT departement, n, {', '.join(f"{even(c, 2)} AS {c}" for c in ['q1', 'mediane', 'q3', 'moustache_basse', 'moustache_haute'])}
+SELECT departement, n, {', '.join(f"{even(c, 2)} AS {c}" for c in ['q1', 'mediane', 'q3', 'moustache_basse', 'moustache_haute'])}, hors
 FROM ({_box(_TOP10, 'departement', _P)})""")
 
 

@@ -16,7 +16,7 @@ from parcelion.operators import silver as silver_ops
 from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
 from parcelion.plans import analysis
 from parcelion.plans.base import (
-    bronze, second_segment, silver, stored_features, stored_segments, stored_silver,
+    bronze, second_segment, silver, stored, stored_features, stored_segments, stored_silver, window_silver,
 )
 from parcelion.schemas import SILVER
 from parcelion.session import fresh_path, stage_table
@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # A commune that occurs at every scale factor, and the year the roll-up asks for.
-COMMUNE, CUBE_YEAR = "CANADA-3", 1997
+COMMUNE, POSTAL_CODE, CUBE_YEAR = "NATION_1-4", "1013", 1997
 PROJECTION_YEAR = 2003
 _PRICE, _SURFACE = "valeur_fonciere", "surface_reelle_bati"
 
@@ -146,7 +146,8 @@ def dates_repaired(spark, sf):
 
 @query
 def silver_rows(spark, sf):
-    return silver(spark, sf)
+    """Silver of a date window."""
+    return window_silver(spark, sf)
 
 
 @query
@@ -315,12 +316,12 @@ def frequent_natures(spark, sf):
 
 @query
 def lookup_postal_code(spark, sf):
-    return kpis.lookup(silver(spark, sf), postal_code="4010")
+    return kpis.lookup(silver(spark, sf), postal_code=POSTAL_CODE)
 
 
 @query
 def lookup_commune(spark, sf):
-    return kpis.lookup(silver(spark, sf), postal_code="", commune="nited_k")
+    return kpis.lookup(silver(spark, sf), postal_code="", commune="ation_1")
 
 
 # --- graph ------------------------------------------------------------------------------
@@ -828,13 +829,13 @@ def _coefficients(rows: DataFrame, model) -> DataFrame:
 
 def _scored(spark, sf) -> DataFrame:
     """Validation and test rows with the training mean of their department as prediction."""
-    safe = models.safe_lots(stored_features(spark, sf))
-    both = safe.val.withColumn("lot", F.lit("val")).unionByName(
-        safe.test.withColumn("lot", F.lit("test"))
-    )
-    return both.where(F.col("dept_mean_price").isNotNull()).withColumn(
-        "prediction", F.col("dept_mean_price")
-    )
+
+    def build():
+        safe = models.safe_lots(stored_features(spark, sf))
+        both = safe.val.withColumn("lot", F.lit("val")).unionByName(safe.test.withColumn("lot", F.lit("test")))
+        return both.where(F.col("dept_mean_price").isNotNull()).withColumn("prediction", F.col("dept_mean_price"))
+
+    return stored(spark, sf, "scored", build)
 
 
 @query
@@ -957,12 +958,13 @@ def projection_csv(spark, sf):
 def _predicted(spark, sf) -> DataFrame:
     """Rows with the training mean of their department times a month factor as the
     predicted price: a prediction that SQL can follow."""
-    rows = stored_features(spark, sf)
-    stats = models.safe_lots(rows).stats
-    joined = stats.apply(rows).where(F.col("dept_mean_price").isNotNull())
-    return joined.withColumn(
-        models.PREDICTION, F.col("dept_mean_price") * (1 + F.col("mois") / 100.0)
-    )
+
+    def build():
+        rows = stored_features(spark, sf)
+        joined = models.safe_lots(rows).stats.apply(rows).where(F.col("dept_mean_price").isNotNull())
+        return joined.withColumn(models.PREDICTION, F.col("dept_mean_price") * (1 + F.col("mois") / 100.0))
+
+    return stored(spark, sf, "predicted", build)
 
 
 @query
@@ -989,10 +991,10 @@ def predictions_summary(spark, sf):
 def predictions_box_top10(spark, sf):
     """Box-plot figures of the departments with the most predictions."""
     found = distribution.box_plot(
-        models.largest_departments(stage_table(_predicted(spark, sf), "predicted")),
+        models.largest_departments(_predicted(spark, sf)),
         ["departement"], models.PREDICTION,
     )
-    return _rounded(found, ["q1", "mediane", "q3", "moustache_basse", "moustache_haute"]).drop("hors")
+    return _rounded(found, ["q1", "mediane", "q3", "moustache_basse", "moustache_haute"])
 
 
 @query
@@ -1005,14 +1007,14 @@ def predicted_against_observed(spark, sf):
 @query
 def predicted_by_department(spark, sf):
     """Observed and predicted mean of the ten largest departments."""
-    both = stage_table(_predicted(spark, sf), "predicted")
+    both = _predicted(spark, sf)
     return _rounded(models.department_comparison(both, both), ["prix_reel", "prix_predit"])
 
 
 @query
 def predicted_histogram(spark, sf):
     """Observed and predicted prices in 50 bins each."""
-    both = stage_table(_predicted(spark, sf), "predicted")
+    both = _predicted(spark, sf)
     found = distribution.histogram(models.stacked(both, both), ["source"], "prix", 50)
     return _rounded(found, ["borne_min", "borne_max"], 4)
 
@@ -1020,7 +1022,7 @@ def predicted_histogram(spark, sf):
 @query
 def predicted_line(spark, sf):
     """Price on surface, observed and predicted, with the mean price per square metre."""
-    both = stage_table(_predicted(spark, sf), "predicted")
+    both = _predicted(spark, sf)
     rows = models.stacked(both, both).where(F.col(_SURFACE) > 0)
     per_m2 = rows.groupBy("source").agg(F.avg(F.col("prix") / F.col(_SURFACE)).alias("prix_m2_moyen"))
     found = distribution.linear_fit(rows, ["source"], _SURFACE, "prix").join(per_m2, "source")
@@ -1044,9 +1046,9 @@ def _sent(spark, sf, times: int = 1) -> str:
     return path
 
 
-def _ingested(spark, sf, stream: DataFrame) -> str:
+def _ingested(spark, sf, stream: DataFrame, distinct: bool = False) -> str:
     target = fresh_path(spark, "stream")
-    run = ingest.start_ingestion(stream, target, f"{target}/offsets", trigger_seconds=None)
+    run = ingest.start_ingestion(stream, target, f"{target}/offsets", trigger_seconds=None, distinct=distinct)
     run.awaitTermination()
     return target
 
@@ -1068,10 +1070,9 @@ def stream_audit(spark, sf):
 
 @query
 def stream_without_replays(spark, sf):
-    """All messages sent twice; each key is stored once."""
-    incoming = messages.open_stream(spark, _sent(spark, sf, times=2))
-    bronze_rows = ingest.without_replays(ingest.bronze_stream(incoming), "4000 days")
-    stored = ingest.stored_rows(spark, _ingested(spark, sf, bronze_rows))
+    """All messages sent twice, over several triggers; each key is stored once."""
+    incoming = messages.open_stream(spark, _sent(spark, sf, times=2), maxFilesPerTrigger="4")
+    stored = ingest.stored_rows(spark, _ingested(spark, sf, ingest.bronze_stream(incoming), distinct=True))
     return stored.groupBy("commune").agg(
         F.count(F.lit(1)).alias("lignes"), F.sum(_PRICE).alias("total")
     )

@@ -49,6 +49,8 @@ BRONZE = _struct(
     ("nombre_pieces_principales", _I), ("fichier_source", _S),
 )
 
+BRONZE_DDL = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in BRONZE)
+
 SILVER = T.StructType(
     BRONZE.fields + [T.StructField("part_date", _DATE), T.StructField("id_unique", _S)]
 )
@@ -68,12 +70,10 @@ MUTATION_NODE = _struct(("id", _S), ("date", _S), ("valeur", _D))
 EDGES = {
     "a_pour_type": _struct(("nature", _S), ("type", _S)),
     "a_pour_lieu": _struct(("type", _S), ("commune", _S)),
-    "a_enregistre": _struct(("commune", _S), ("mutation_id", _S)),
+    "a_enregistre": _struct(("commune", _S), ("mutation_id", _S), ("date", _S), ("valeur", _D)),
 }
 
-KPI = _struct(("key", _S), ("pos", _I), ("value", _S))
-
 AUDIT = _struct(
     ("batch_id", _L), ("finished_at", T.TimestampType()), ("rows", _L),
-    ("seconds", _D), ("status", _S), ("error", _S),
+    ("refused", _L), ("seconds", _D), ("status", _S), ("error", _S),
 )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,23 +62,32 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    _STAGED.append(path)
+    if (block := _BLOCK.get()) is not None:
+        block.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Paths staged by this process, until they are released.
-_STAGED: list[str] = []
+# Paths staged within the innermost block of :func:`released_after`. Threads started by a
+# flow share its block when they run in a copy of its context.
+_BLOCK: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 @contextmanager
 def released_after(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside the block when it ends. For flows whose results are
-    written inside the block; a result that is still to be computed needs its tables."""
-    first = len(_STAGED)
+    written inside the block; a result that is still to be computed needs its tables.
+    Blocks of flows that run side by side do not touch each other's tables."""
+    paths: list[str] = []
+    token = _BLOCK.set(paths)
     try:
         yield
     finally:
-        paths, _STAGED[first:] = _STAGED[first:], []
+        _BLOCK.reset(token)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in paths:
             place = jvm.org.apache.hadoop.fs.Path(path)

@@ -58,10 +58,15 @@ def raw_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
     )
     no_building = F.col("p_size") < 10
+    # A few dates that cannot be read, prices on the bounds of segments, and outliers.
+    fifth, part = F.col("l_linenumber") == 5, F.col("l_partkey") % 20
     return sales.select(
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date mutation"),
+        F.when((F.col("l_linenumber") == 6) & (F.col("l_partkey") % 40 == 0), "inconnue")
+        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("Date mutation"),
         F.col("o_orderpriority").alias("Nature mutation"),
         F.when(F.col("l_linenumber") == 7, "")
+        .when(fifth & (part == 0), "470000,00").when(fifth & (part == 5), "1300000,00")
+        .when(fifth & (part == 10), "600000000,00")
         .otherwise(_comma_text(F.col("l_extendedprice") * 20))
         .alias("Valeur fonciere"),
         (1000 + F.col("c_nationkey") * 1000 + F.col("c_custkey") % 90)

@@ -55,6 +55,8 @@ def compare(spark, con, sf_dir, query, sql) -> str:
         return f"columns {ours[0]} / {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):
         return f"rows {len(ours[1])} / {len(theirs[1])}"
+    if not ours[1]:
+        return "no rows to compare"
     if types_of(df, con, sql):
         return types_of(df, con, sql)
     wrong = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b]

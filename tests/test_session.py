@@ -1,6 +1,8 @@
 """Staged tables, the shared folder and the plans they lead to."""
 
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,14 +40,25 @@ def test_staged_tables_keep_rows_and_types_and_can_be_released(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "", 0.5)], "i int, s string, d double")
     with session.released_after(spark):
         staged = session.stage_table(df)
-        path = session._STAGED[-1]
+        path = staged.inputFiles()[0].rsplit("/", 1)[0]
         assert sorted(map(tuple, staged.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
         assert staged.dtypes == df.dtypes
-        local = path.removeprefix("file:")
+        local = "/" + path.removeprefix("file:").lstrip("/")
         assert os.path.isdir(local)
     assert not os.path.exists(local)
 
 
+def test_blocks_side_by_side_release_their_own_tables(spark):
+    def flow(number):
+        with session.released_after(spark):
+            first = session.stage_table(spark.range(number))
+            time.sleep(0.5 * number)
+            return first.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(flow, (1, 3))) == [1, 3]
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

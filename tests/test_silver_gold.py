@@ -16,7 +16,6 @@ def test_window_is_half_open_and_drops_rows_without_a_date(spark):
     rows = [sale(day=d) for d in (date(2020, 12, 31), date(2021, 1, 1), date(2023, 12, 31), date(2024, 1, 1), None)]
     assert sorted(r.date_mutation for r in _silver(spark, rows).collect()) == [date(2021, 1, 1), date(2023, 12, 31)]
     assert tuple(silver.undated(bronze(spark, rows)).first()) == (5, 1)
-    assert silver.month_bounds(2021, 12) == (date(2021, 12, 1), date(2022, 1, 1))
 
 
 def test_smallest_duplicate_is_kept_and_null_keys_are_equal(spark):
