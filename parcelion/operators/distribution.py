@@ -4,9 +4,11 @@
 large department may hold a third of all rows. Here a first scan counts rows per
 (group, bin): the counts are combined before the shuffle, so a few thousand rows per
 task travel, however large a group is. Running counts tell which bin holds a quantile
-position, and a second scan takes only the values of those bins.
+position. A wanted bin that still holds more than ``CELL_ROWS`` rows is cut again between its own
+smallest and largest value, as often as it takes, and the last scan orders only the values of
+the cells that remain: a bin of 32-bit values needs one cut at most, near-equal doubles a few.
 
-The input is scanned twice: pass a stored table.
+The input is scanned twice or more: pass a stored table.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from parcelion.functions.numeric import equal_width_bin, with_ordered_bin
 from parcelion.session import stage_table
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Rows that may be ordered in one task, and the parts a larger cell is cut into.
+CELL_ROWS, PARTS = 1 << 17, 4096
 
 
 def quantile_name(q: float) -> str:
@@ -112,6 +116,31 @@ def _with_moments(bins: DataFrame, group: Sequence[str]) -> DataFrame:
     ).withColumn("before", F.col("until") - size)
 
 
+def _within(rows: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows whose value lies in a wanted cell, with the cell's range."""
+    found = rows.join(wanted.select(*group, "bin", "low", "high", "size"), [*group, "bin"])
+    return found.where(F.col("value").between(F.col("low"), F.col("high")))
+
+
+def _cut_again(rows: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The wanted cells cut into parts of equal width; the parts that hold a position."""
+    cell = [*group, "bin", "low"]
+    half = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    small = (F.col("size") <= CELL_ROWS) | (F.col("low") == F.col("high"))
+    part = F.when(small, 0).otherwise(F.least(F.floor(half * PARTS), F.lit(PARTS - 1)))
+    parts = _within(rows, wanted, group).groupBy(*cell, part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_size"), F.min("value").alias("_low"), F.max("value").alias("_high")
+    )
+    up_to = Window.partitionBy(*cell).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.col("before") + F.col("_until")
+    held = F.filter("ranks", lambda r: (r["rank"] >= until - F.col("_size")) & (r["rank"] < until))
+    located = parts.withColumn("_until", F.sum("_size").over(up_to)).join(wanted, cell)
+    return located.withColumn("_held", held).where(F.size("_held") > 0).select(
+        *group, "bin", F.col("_low").alias("low"), F.col("_high").alias("high"), F.col("_size").alias("size"),
+        (until - F.col("_size")).alias("before"), F.col("_held").alias("ranks"), *_MOMENTS,
+    )
+
+
 def _place(q: float) -> Column:
     return (F.col("n") - 1) * q
 
@@ -127,9 +156,9 @@ def _values_at(
 ) -> DataFrame:
     """Group figures with the two values next to every quantile position.
 
-    The wanted bins, a few per group, are stored: their true size decides whether they
-    are broadcast to the second scan. Inside a bin, values are counted before they are
-    ordered; at most 131,072 different 32-bit values share one.
+    The wanted cells, a few per group, are stored: their true size decides whether they
+    are broadcast to the next scan. Inside a cell, values are counted before they are
+    ordered.
     """
     ranks = []
     for i, q in enumerate(quantiles):
@@ -145,12 +174,14 @@ def _values_at(
             ),
         )
         .where(F.size("ranks") > 0)
-        .select(*group, "bin", "before", "ranks", *_MOMENTS),
+        .select(*group, "bin", "low", "high", "size", "before", "ranks", *_MOMENTS),
         "bins",
     )
-    place = [*group, "bin"]
+    place = [*group, "bin", "low"]
+    while (wanted.where("low < high").agg(F.max("size")).first()[0] or 0) > CELL_ROWS:
+        wanted = stage_table(_cut_again(rows, wanted, group), "bins")
     counted = (
-        rows.join(wanted.select(*place), place, "left_semi")
+        _within(rows, wanted, group)
         .groupBy(*place, "value")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )

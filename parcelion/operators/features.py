@@ -188,7 +188,7 @@ def dates_found(df: DataFrame, columns: list[str], sample: int = 10) -> DataFram
     """Text columns that read as dates (see :func:`date_like`) turned into date parts;
     values that do not read as a date give NULL parts."""
     found = date_like(df, columns, sample)
-    typed = df.withColumns({c: F.col(c).try_cast("timestamp") for c in found}) if found else df
+    typed = df.withColumns({c: F.to_date(F.col(c).try_cast("timestamp")) for c in found}) if found else df
     return split_dates(typed, found)
 
 

@@ -258,9 +258,9 @@ def cross_validate(make: Callable[[], object], train: DataFrame, features: Seque
 
 
 def train_all(train: DataFrame, features: Sequence[str], forest: dict | None = None,
-              boosting: dict | None = None) -> tuple[list[Fitted], dict[str, float]]:
-    """The four regressors, with the seconds each fit took. Pass a stored or cached
-    frame."""
+              boosting: dict | None = None, log_target: bool = False) -> tuple[list[Fitted], dict[str, float]]:
+    """The four regressors, with the seconds each fit took; a skewed target is learnt as
+    log(1 + y). Pass a stored or cached frame."""
     makers = {
         "Linear Regression": linear_regression(),
         "Ridge": ridge(train),
@@ -270,7 +270,7 @@ def train_all(train: DataFrame, features: Sequence[str], forest: dict | None = N
     fitted, seconds = [], {}
     for name, learner in makers.items():
         begun = time.monotonic()
-        fitted.append(fit(name, learner, train, features))
+        fitted.append(fit(name, learner, train, features, log_target=log_target))
         seconds[name] = time.monotonic() - begun
     return fitted, seconds
 

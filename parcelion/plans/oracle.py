@@ -252,6 +252,9 @@ sql("silver_months", """
 SELECT * FROM silver WHERE date_mutation >= DATE '1997-03-01' AND date_mutation < DATE '1997-06-01'""")
 sql("silver_preview", "SELECT * FROM silver ORDER BY id_unique LIMIT 20")
 sql("silver_csv", "SELECT * FROM silver")
+sql("parquet_sample", f"""
+SELECT count(*) AS total, count(DISTINCT commune) AS communes_uniques, {even('avg(valeur_fonciere)', 2)} AS valeur_moyenne
+FROM (SELECT * FROM silver WHERE ({hex_number("sha256(id_unique || ':42')", 1)}) < 6553.6 ORDER BY sha256(id_unique || ':42'), id_unique LIMIT 20000)""")
 
 # --- gold -------------------------------------------------------------------------------
 
@@ -308,8 +311,11 @@ sql("kpi_list", f"""
 SELECT CAST(row_number() OVER (ORDER BY nb DESC, commune) - 1 AS INTEGER) AS pos, commune, nb FROM ({_TOP5})""")
 sql("kpi_report", """
 SELECT count(*) AS total, count(DISTINCT commune) AS communes_uniques, avg(valeur_fonciere) AS valeur_moyenne FROM bronze""")
+_TYPES = {"date_mutation": "date", "valeur_fonciere": "float", "surface_reelle_bati": "float", "nombre_pieces_principales": "int"}
+sql("profile_shape", "SELECT count(*) AS lignes, 9::BIGINT AS colonnes FROM typed")
+sql("profile_head", "SELECT * FROM silver ORDER BY date_mutation, id_unique LIMIT 100")
 sql("profile_columns", "\nUNION ALL ".join(
-    f"SELECT '{c}' AS colonne, avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100 AS pct_nul FROM typed"
+    f"SELECT '{c}' AS colonne, '{_TYPES.get(c, 'string')}' AS type, avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100 AS pct_nul FROM typed"
     for c in ["date_mutation", "nature_mutation", "valeur_fonciere", "code_postal", "commune", "type_local",
               "surface_reelle_bati", "nombre_pieces_principales", "fichier_source"]))
 for _name, _column, _end in [
@@ -544,6 +550,13 @@ sql("date_like_columns", """
 SELECT 'date_texte' AS colonne, true AS date, count(date_mutation) AS lignes FROM silver
 UNION ALL SELECT 'commune', false, count(commune) FROM silver
 UNION ALL SELECT 'nature_mutation', false, count(nature_mutation) FROM silver""")
+sql("dates_converted", ORACLE["date_parts"][len(LAYERS):].replace("date_mutation_", "date_texte_") if "date_parts" in ORACLE else "")
+sql("projection_dates", f"""
+SELECT id_unique, CAST(date_mutation + to_months(CAST(12 * ({PROJECTION_YEAR} - year(date_mutation)) AS INTEGER)) AS DATE) AS date_mutation,
+       {PROJECTION_YEAR}::INTEGER AS annee, mois, departement
+FROM roomy""")
+sql("model_folds", f"""
+SELECT lot, CAST(({hex_number("sha256(id_unique || ':42')", 9)}) * 5 // 65536 AS INTEGER) AS pli, count(*) AS lignes FROM roomy GROUP BY 1, 2""")
 sql("year_moved", f"""
 SELECT id_unique, CAST(date_mutation + to_months(CAST(12 * ({PROJECTION_YEAR} - year(date_mutation)) AS INTEGER)) AS DATE) AS date_projetee
 FROM silver""")
@@ -681,6 +694,9 @@ sql("stream_audit", "SELECT 'ok' AS status, count(*) AS lignes FROM bronze")
 sql("stream_without_replays", """
 SELECT commune, count(*) AS lignes, sum(valeur_fonciere) AS total
 FROM (SELECT DISTINCT date_mutation, code_postal, valeur_fonciere, commune, type_local FROM bronze) GROUP BY 1""")
+sql("stream_overview", f"""
+SELECT commune, nb, (SELECT CAST(count(*) AS BIGINT) FROM bronze) AS total,
+       (SELECT {even('avg(valeur_fonciere)', 2)} FROM bronze) AS moyenne FROM ({_TOP5})""")
 sql("stream_kpis", f"""
 SELECT commune, count(*) AS nb, {even('avg(valeur_fonciere)', 2)} AS moyenne FROM bronze GROUP BY 1""")
 sql("stream_events", f"""

@@ -183,10 +183,10 @@ def silver_csv(spark, sf):
 
 @query
 def parquet_sample(spark, sf):
-    """Bernoulli sample as a stored table, and its report."""
+    """A tenth of silver by digest, 20,000 rows at most, as a stored table, and its report."""
     path = fresh_path(spark, "sample")
-    tables.export_sample(bronze(spark, sf), path)
-    return kpis.parquet_report(tables.read_table(spark, path))
+    tables.export_sample(stored_silver(spark, sf), path, identity="id_unique")
+    return _rounded(kpis.parquet_report(tables.read_table(spark, path)), ["valeur_moyenne"])
 
 
 # --- gold -------------------------------------------------------------------------------
@@ -296,7 +296,20 @@ def kpi_report(spark, sf):
 @query
 def profile_columns(spark, sf):
     """Missing values per column before defaults are filled in."""
-    return kpis.profile(clean.typed(testdata.mutations(spark, sf))).select("colonne", "pct_nul")
+    return kpis.profile(clean.typed(testdata.mutations(spark, sf)))
+
+
+@query
+def profile_shape(spark, sf):
+    """Rows and columns of the typed table."""
+    rows = clean.typed(testdata.mutations(spark, sf))
+    return rows.agg(F.count(F.lit(1)).alias("lignes")).withColumn("colonnes", F.lit(len(rows.columns)).cast("long"))
+
+
+@query
+def profile_head(spark, sf):
+    """The first 100 rows in a total order."""
+    return tables.overview(stored_silver(spark, sf).orderBy("date_mutation", "id_unique"), 100)[2]
 
 
 @query
@@ -702,6 +715,13 @@ def date_like_columns(spark, sf):
     ])))
 
 
+@query
+def dates_converted(spark, sf):
+    """Text columns that read as dates turned into date parts."""
+    rows = silver(spark, sf).select("id_unique", F.col("date_mutation").cast("string").alias("date_texte"), "commune")
+    return features.dates_found(stage_table(rows, "texts"), ["date_texte", "commune"]).drop("commune")
+
+
 @query
 def year_moved(spark, sf):
     return silver(spark, sf).select(
@@ -852,46 +872,60 @@ def baseline_residuals(spark, sf):
     )
 
 
-# Tree sizes for the registered model queries, which run on every check. The learners'
-# own defaults are 100 trees of depth 15 and 100 rounds of depth 6.
-FOREST = {"numTrees": 10, "maxDepth": 6}
-BOOSTING = {"maxIter": 5, "maxDepth": 4}
+# Labelled rows that a registered model query learns from, by digest of their id: a bound on
+# the time of each fit. Trees and rounds are the learners' own (100 trees of depth 15, 100
+# rounds of depth 6).
+LABELLED_ROWS = 2_000
 
 
-def _learning_rows(spark, sf) -> tuple[models.SafeLots, DataFrame, DataFrame, DataFrame, list[str]]:
-    safe = models.safe_lots(features.leak_free(stored_features(spark, sf)))
-    columns = models.default_features(safe.train)
-    train, val, test = (
-        stage_table(features.complete_rows(part, columns), "lot")
-        for part in (safe.train, safe.val, safe.test)
-    )
-    return safe, train, val, test, columns
+def _bounded(rows: DataFrame) -> DataFrame:
+    return stage_table(distribution.exact_sample(stage_table(rows, "labelled"), [], "id_unique", LABELLED_ROWS), "labelled")
+
+
+_PREPARED: dict[tuple, tuple] = {}
+
+
+def _learnt(spark, sf, segment: int):
+    """The prepared lots of a segment and its four fitted models, once per application."""
+    key = (spark.sparkContext.applicationId, sf, segment)
+    if key not in _PREPARED:
+        ready = analysis.prepare(stored_segments(spark, sf).where(F.col("segment") == segment))
+        train, val, test = _bounded(ready.train), stage_table(ready.val, "val"), stage_table(ready.test, "test")
+        fitted, _ = models.train_all(train, ready.columns, log_target=ready.log_target)
+        _PREPARED[key] = fitted, val, test
+    return _PREPARED[key]
+
+
+def _by_segment(spark, sf, build) -> DataFrame:
+    found = [build(*_learnt(spark, sf, segment)).withColumn("segment", F.lit(segment)) for segment in (1, 2)]
+    return found[0].unionByName(found[1])
 
 
 @query
 def model_leaderboard(spark, sf):
-    """Four regressors without leaking features, compared on the validation rows."""
-    _, train, val, _, columns = _learning_rows(spark, sf)
-    fitted, _ = models.train_all(train, columns, FOREST, BOOSTING)
-    return models.leaderboard(models.compare(fitted, val))
+    """Four regressors on the encoded, scaled frame of a segment, compared on its validation rows."""
+    return _by_segment(spark, sf, lambda fitted, val, _: models.leaderboard(models.compare(fitted, val)))
 
 
 @query
 def model_test_score(spark, sf):
-    """The forest on the test rows, with residual figures."""
-    _, train, _, test, columns = _learning_rows(spark, sf)
-    forest = models.fit("Random Forest", models.random_forest(**FOREST), train, columns)
-    scored = stage_table(
-        forest.predict(test).select(F.lit("test").alias("lot"), _PRICE, "prediction"), "scored"
-    )
-    return models.metrics(scored, ["lot"]).join(models.residuals(scored, ["lot"]), "lot")
+    """The model with the smallest validation error, on the test rows."""
+
+    def build(fitted, val, test):
+        best = models.leaderboard(models.compare(fitted, val)).first()["modele"]
+        model = next(m for m in fitted if m.name == best)
+        scored = stage_table(model.predict(test).select(F.lit(best).alias("modele"), _PRICE, "prediction"), "scored")
+        return models.metrics(scored, ["modele"]).join(models.residuals(scored, ["modele"]), "modele")
+
+    return _by_segment(spark, sf, build)
 
 
 @query
 def model_importances(spark, sf):
-    _, train, _, _, columns = _learning_rows(spark, sf)
-    forest = models.fit("Random Forest", models.random_forest(**FOREST), train, columns)
-    return models.importance_table(spark, forest)
+    """The ten weightiest features of the forest."""
+    return _by_segment(
+        spark, sf, lambda fitted, *_: models.importance_table(spark, next(m for m in fitted if m.name == "Random Forest"))
+    )
 
 
 @query
@@ -910,7 +944,7 @@ def model_leakage(spark, sf):
     for name, (learn, check) in frames.items():
         columns = models.default_features(learn)
         learn, check = (features.complete_rows(x, columns) for x in (learn, check))
-        forest = models.fit(name, models.random_forest(**FOREST), stage_table(learn, "lot"), columns)
+        forest = models.fit(name, models.random_forest(), _bounded(learn), columns)
         score = models.metrics(forest.predict(check)).withColumn("jeu", F.lit(name))
         scores = score if scores is None else scores.unionByName(score)
     return scores
@@ -921,8 +955,14 @@ def model_cross_validation(spark, sf):
     """Five folds of the training rows."""
     rows = features.leak_free(stored_features(spark, sf)).where(F.col("lot") == "train").drop("lot")
     columns = models.default_features(rows)
-    train = stage_table(models.with_fold(features.complete_rows(rows, columns)), "folds")
-    return models.cross_validate(lambda: models.random_forest(**FOREST), train, columns)
+    train = stage_table(models.with_fold(_bounded(features.complete_rows(rows, columns))), "folds")
+    return models.cross_validate(models.random_forest, train, columns)
+
+
+@query
+def model_folds(spark, sf):
+    """Training rows per lot and fold that the models see."""
+    return models.with_fold(stored_features(spark, sf)).groupBy("lot", "pli").agg(F.count(F.lit(1)).alias("lignes"))
 
 
 @query
@@ -935,7 +975,7 @@ def model_log_target(spark, sf):
 
 
 def _projection(spark, sf) -> DataFrame:
-    return analysis.study(second_segment(spark, sf), PROJECTION_YEAR, models.random_forest(**FOREST))
+    return stored(spark, sf, "projection", lambda: analysis.study(second_segment(spark, sf), PROJECTION_YEAR, rows=_bounded))
 
 
 @query
@@ -946,6 +986,20 @@ def projection_rows(spark, sf):
     )
 
 
+@query
+def projection_dates(spark, sf):
+    """The projected rows without their prediction."""
+    return _projection(spark, sf).select("id_unique", "date_mutation", "annee", "mois", "departement")
+
+
+@query
+def projection_figures(spark, sf):
+    """The summaries of predictions, on those of the fitted model: as many rows and departments as are projected."""
+    rows = _projection(spark, sf)
+    size = rows.agg(F.count(F.lit(1)).alias("lignes"), F.count_distinct("departement").alias("departements")).first()
+    return models.prediction_summary(rows).withColumns({name: F.lit(size[name]) for name in ("lignes", "departements")})
+
+
 @query
 def projection_csv(spark, sf):
     """Predictions exported as CSV, read back and described."""
@@ -1085,7 +1139,17 @@ def stream_kpis(spark, sf):
     target = fresh_path(spark, "live")
     figures = live.running_counts(ingest.bronze_stream(incoming))
     live.start_refresh(figures, f"{target}/kpis", f"{target}/offsets", None).awaitTermination()
-    return _rounded(spark.read.parquet(f"{target}/kpis"), ["moyenne"])
+    return _rounded(live.latest(spark, f"{target}/kpis"), ["moyenne"])
+
+
+@query
+def stream_overview(spark, sf):
+    """Rows, mean price and the five communes with the most sales, from the running figures."""
+    incoming = messages.open_stream(spark, _sent(spark, sf), maxFilesPerTrigger="4")
+    target = fresh_path(spark, "live")
+    figures = live.running_counts(ingest.bronze_stream(incoming))
+    live.start_refresh(figures, f"{target}/kpis", f"{target}/offsets", None).awaitTermination()
+    return _rounded(live.overview(live.latest(spark, f"{target}/kpis")), ["moyenne"])
 
 
 @query
@@ -1102,4 +1166,4 @@ def stream_events(spark, sf):
     target = fresh_path(spark, "live")
     figures = live.running_counts(parsed, "event_type", "value")
     live.start_refresh(figures, f"{target}/kpis", f"{target}/offsets", None).awaitTermination()
-    return _rounded(spark.read.parquet(f"{target}/kpis"), ["moyenne"], 4)
+    return _rounded(live.latest(spark, f"{target}/kpis"), ["moyenne"], 4)

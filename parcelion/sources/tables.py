@@ -71,7 +71,7 @@ def replace_months(silver: DataFrame, path: str) -> None:
 
 
 def read_months(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Rows dated in [start, end). Months outside the range are never listed, and the
+    """Rows dated in [start, end). Months outside the range are never read, and the
     date bounds themselves are pushed into the Parquet scan."""
     day, month = F.col("date_mutation"), F.col("annee") * 12 + F.col("mois")
     first, last = (int(d[:4]) * 12 + int(d[5:7]) for d in (start, end))
@@ -98,7 +98,15 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def export_sample(df: DataFrame, path: str, fraction: float = 0.1, rows: int = 20_000, seed: int = 42) -> None:
-    """Bernoulli sample without replacement, cut at ``rows``, as snappy Parquet."""
-    sample = df.sample(withReplacement=False, fraction=fraction, seed=seed).limit(rows)
+def export_sample(
+    df: DataFrame, path: str, fraction: float = 0.1, rows: int = 20_000, seed: int = 42, identity: str | None = None
+) -> None:
+    """Sample without replacement, cut at ``rows``, as snappy Parquet: Bernoulli, or by a
+    salted digest of ``identity``, which gives the same rows on every run and partitioning."""
+    if identity is None:
+        sample = df.sample(withReplacement=False, fraction=fraction, seed=seed).limit(rows)
+    else:
+        digest = F.sha2(F.concat(F.col(identity), F.lit(f":{seed}")), 256)
+        chosen = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") < F.lit(fraction) * 65536
+        sample = df.where(chosen).orderBy(digest, identity).limit(rows)
     sample.write.mode("overwrite").option("compression", "snappy").parquet(path)

@@ -112,3 +112,22 @@ def test_linear_fit(spark):
     row = d.linear_fit(df, ["k"], "x", "y").first()
     assert math.isclose(row.pente, slope, rel_tol=1e-9) and math.isclose(row.ordonnee, intercept, rel_tol=1e-9)
     assert math.isclose(row.y_max, slope * row.x_max + intercept, rel_tol=1e-9)
+
+
+def test_near_equal_doubles_are_cut_until_a_task_can_order_them(spark, monkeypatch):
+    rows = spark.range(60_000).select((F.lit(500_000.0) + F.col("id") * 7 % 60_000 / 20.0 + F.lit(1e-7)).alias("x"))
+    rows = rows.union(spark.range(9_000).select(F.lit(500_001.5).alias("x")))
+    exact = rows.agg(*[F.percentile("x", F.lit(q)) for q in (0.1, 0.5, 0.9)]).first()
+    orders = []
+    cut = d._cut_again
+
+    def counted(*given):
+        found = cut(*given)
+        orders.append(found.agg(F.max("size")).first()[0])
+        return found
+
+    monkeypatch.setattr(d, "CELL_ROWS", 50)
+    monkeypatch.setattr(d, "_cut_again", counted)
+    found = d.summarize(rows, [], ["x"], (0.1, 0.5, 0.9)).first()
+    assert (found.p10, found.p50, found.p90) == pytest.approx(tuple(exact), rel=1e-15)
+    assert orders and orders[-1] <= 9_000
