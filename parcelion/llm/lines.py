@@ -91,7 +91,7 @@ def clean_lines(
     null included."""
     hashes = line_hashes(docs, id_col, text_col, min_chars)
     drop = (
-        hashes.join(shared_lines(hashes, min_docs), "hash")
+        hashes.join(stage_table(shared_lines(hashes, min_docs), "lines"), "hash")
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id")
         .agg(F.collect_set("hash").alias("hashes"))
