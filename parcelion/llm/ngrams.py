@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelion.session import stage_table
+
 from .words import Words, batches
 
 MICRO = 1_000_000
@@ -43,12 +45,20 @@ def frequent_words(docs: DataFrame, size: int, is_word: np.ndarray, fold: bool)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["word", "n"])
 
     counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(size)
+    counts = stage_table(counts.filter("n > 1"), "words")
+    # Eight steps per power of two: the step that holds the last word wanted keeps all rarer words out of the sort.
+    step = F.floor(F.log2("n") * 8).cast("int")
+    wanted, least = size, 0
+    for row in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        wanted, least = wanted - row["words"], row["step"]
+        if wanted <= 0:
+            break
+    top = counts.filter(step >= least).orderBy(F.desc("n"), "word").limit(size)
     return [row["word"] for row in top.collect()]
 
 
 def tallied(row_of: np.ndarray, keys: np.ndarray, rows: int) -> tuple[pa.Array, pa.Array]:
-    """Per row, its distinct keys and how often each occurs. Keys must be below 2**32."""
+    """Per row, its distinct keys and how often each occurs. Keys must be below 2**31, rows too."""
     found, counts = np.unique((row_of.astype(np.int64) << 32) | keys, return_counts=True)
     offsets = np.searchsorted(found >> 32, np.arange(rows + 1)).astype(np.int32)
     lists = lambda values: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
