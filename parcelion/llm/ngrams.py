@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelion.session import stage_table
@@ -36,8 +36,11 @@ class Vocabulary:
         return np.where(self.sorted[place] == hashes, self.order[place], -1)
 
 
-def frequent_words(docs: DataFrame, size: int, is_word: np.ndarray, fold: bool) -> list[int]:
-    """Hashes of the ``size`` most frequent words of ``docs.text`` that occur twice or more, counted over all documents."""
+def frequent_words(docs: DataFrame, size: int, is_word: np.ndarray, fold: bool, by: str | None = None) -> list[int]:
+    """Hashes of the ``size`` most frequent words of ``docs.text`` that occur twice or more, counted over all documents.
+    With ``by``, the groups of this column take turns, each with its most frequent words."""
+    if by is not None:
+        return _frequent_in_turn(docs, size, is_word, fold, by)
 
     def run(stream):
         for batch in batches(stream):
@@ -57,6 +60,28 @@ def frequent_words(docs: DataFrame, size: int, is_word: np.ndarray, fold: bool)
     return [row["word"] for row in top.collect()]
 
 
+def _frequent_in_turn(docs: DataFrame, size: int, is_word: np.ndarray, fold: bool, by: str) -> list[int]:
+    def run(stream):
+        for batch in batches(stream):
+            kinds = batch.column(1).dictionary_encode()
+            words = Words(batch.column(0), is_word, fold)
+            of = np.repeat(np.asarray(kinds.indices.fill_null(-1), dtype=np.int64), np.diff(words.bounds))
+            for kind in np.unique(of).tolist():
+                found, counts = np.unique(words.hashes[of == kind], return_counts=True)
+                name = kinds.dictionary[kind].as_py() if kind >= 0 else None
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(found), kinds.dictionary.type), pa.array(found.view(np.int64)), pa.array(counts)],
+                    names=["of", "word", "n"],
+                )
+
+    rows = docs.select("text", F.col(by).cast("string").alias("of")).mapInArrow(run, "of string, word long, n long")
+    counts = stage_table(rows.groupBy("of", "word").agg(F.sum("n").alias("n")).filter("n > 1"), "words")
+    turn = F.row_number().over(Window.partitionBy("of").orderBy(F.desc("n"), "word"))
+    turns = counts.withColumn("turn", turn).filter(F.col("turn") <= size)
+    first = turns.groupBy("word").agg(F.min("turn").alias("turn"), F.sum("n").alias("n"))
+    return [row["word"] for row in first.orderBy("turn", F.desc("n"), "word").limit(size).collect()]
+
+
 def tallied(row_of: np.ndarray, keys: np.ndarray, rows: int) -> tuple[pa.Array, pa.Array]:
     """Per row, its distinct keys and how often each occurs. Keys must be below 2**31, rows too."""
     found, counts = np.unique((row_of.astype(np.int64) << 32) | keys, return_counts=True)

@@ -113,3 +113,25 @@ def test_held_out_labels(spark):
     assert share[1] > 0.98 and share[0] < 0.4
     kept = Q.keep_good(docs, labels)
     assert kept.columns == docs.columns and 0.75 * docs.count() < kept.count() < docs.count()
+
+
+def test_thresholds_see_every_trusted_document_not_trained_on(spark):
+    # One document in ten is of the rare language: more labels must not cost it its own threshold, nor its places in the model.
+    texts = [(i, prose(i, 30), "rare" if i % 10 == 0 else "hot") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(4)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    sample = Q.trusted_sample(labels, 200, docs.select("doc_id", "lang")).join(docs, "doc_id").groupBy("lang", "train").count().collect()
+    found = {(r.lang, r.train): r["count"] for r in sample}
+    assert sum(found.values()) == 3000 and found["rare", True] == found["hot", True] == 50
+    judged = Q.classify(docs, labels, quantile=0.9, max_trusted=200)
+    chosen = {r.doc_id for r in Q.trusted_sample(labels, 200, docs.select("doc_id", "lang")).filter("train").collect()}
+    rows = [r for r in judged.collect() if r.doc_id not in chosen]
+    for lang in ("rare", "hot"):
+        own = [r for r in rows if r.lang == lang]
+        limit = float(np.quantile([r.loss for r in own], 0.9))
+        assert {r.threshold for r in own} == {math.ceil(limit)}
+
+
+def test_equal_share():
+    assert Q._equal_share({}, 10) == 1 and Q._equal_share({3: 2}, 10) == 3 and Q._equal_share({2: 1, 50: 2}, 12) == 5
+    assert Q._equal_share({1: 100}, 10) == 1 and Q._equal_share({1: 1, 4: 1, 1000: 1}, 20) == 15
