@@ -135,3 +135,22 @@ def test_thresholds_see_every_trusted_document_not_trained_on(spark):
 def test_equal_share():
     assert Q._equal_share({}, 10) == 1 and Q._equal_share({3: 2}, 10) == 3 and Q._equal_share({2: 1, 50: 2}, 12) == 5
     assert Q._equal_share({1: 100}, 10) == 1 and Q._equal_share({1: 1, 4: 1, 1000: 1}, 20) == 15
+
+
+def test_scores_tell_rare_words_apart(spark):
+    # The frequent words belong to a hot language; those of another one occur three times each.
+    hot = [(i, " ".join(f"hot{(i * 7 + j) % 5000}" for j in range(400))) for i in range(60)]
+    rare = [(100 + i, " ".join(f"{'like' if i < 6 else 'unlike'}{j % 300}" for j in range(i % 6, 300, 2))) for i in range(12)]
+    docs = spark.createDataFrame(hot + rare, "doc_id long, text string").repartition(3)
+    target = spark.createDataFrame([(i,) for i in [*range(60), *range(100, 105)]], "doc_id long")
+    score = {r.doc_id: r.score for r in C.score_documents(docs, target).collect()}
+    assert max(score[i] for i in range(100, 106)) + 100_000 < min(score[i] for i in range(106, 112))
+
+
+def test_scores_without_a_vocabulary_equal_those_with_all_words(spark):
+    # Every word occurs twice, so a large vocabulary holds them all.
+    texts = [(i, prose(i % 9, 30, vocabulary=50)) for i in range(36)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    target = docs.filter("doc_id % 3 = 0").select("doc_id")
+    everything, cut = (sorted(map(tuple, C.score_documents(docs, target, vocabulary=v).collect())) for v in (None, 10_000))
+    assert everything == cut
