@@ -139,7 +139,7 @@ def test_equal_share():
 
 def test_scores_tell_rare_words_apart(spark):
     # The frequent words belong to a hot language; those of another one occur three times each.
-    hot = [(i, " ".join(f"hot{(i * 7 + j) % 5000}" for j in range(400))) for i in range(60)]
+    hot = [(i, " ".join(f"hot{(i * 83 + j) % 5000}" for j in range(400))) for i in range(60)]
     rare = [(100 + i, " ".join(f"{'like' if i < 6 else 'unlike'}{j % 300}" for j in range(i % 6, 300, 2))) for i in range(12)]
     docs = spark.createDataFrame(hot + rare, "doc_id long, text string").repartition(3)
     target = spark.createDataFrame([(i,) for i in [*range(60), *range(100, 105)]], "doc_id long")
