@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cross_entropy, decontaminate, jaccard, lines, mixing, passages, quality, search, token_counts
+from . import (
+    chat, conversations, cross_entropy, decontaminate, jaccard, lines, minhash, mixing, passages, quality, search, spelling, token_counts,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +95,43 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` (conv_id, turn, role, text) with faults by a checksum of conversation and turn; nulls read as one space."""
+    told = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    pick = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn"))) % 20
+    role, text = told("role"), told("text")
+    rows = rows.select(
+        "conv_id", "turn", pick.alias("pick"), F.when(pick == 4, "user").otherwise(role).alias("role"),
+        F.when(pick == 1, "").when(pick == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+    )
+    copies = F.when(F.col("pick") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.filter("pick <> 0").select("conv_id", "turn", "role", "text", F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.repair(damaged(rows)).withColumnRenamed("conv_id", "found")
+    ids = rows.select("conv_id").distinct()
+    joined = ids.join(found, ids["conv_id"].eqNullSafe(found["found"]), "left").drop("found")
+    none = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": ""}
+    return joined.fillna(none, subset=list(none)).withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 97th run of letters, by checksum, loses a code point; a null id is empty there."""
+    docs = _table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(lower, F.lit(spelling.LETTERS), F.lit(0))).alias("run"))
+    runs = runs.select("run", F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))).alias("h"))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return spelling.variants(spelling.count_words(runs.select(F.when(F.col("h") % 97 == 0, cut).otherwise(F.col("run")).alias("word"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -104,4 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op10_quality": op10_quality,
     "op9_chat_format": op9_chat_format,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_minhash": op12_minhash,
+    "op13_spelling": op13_spelling,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -106,3 +107,78 @@ def best_cut(word: bytes, scores: dict, missing: float):
 def prose(seed, words, vocabulary=3000):
     rng = random.Random(seed)
     return " ".join(f"w{int(rng.paretovariate(0.7)) % vocabulary}x{rng.randrange(40)}" for _ in range(words))
+
+
+def repaired(rows):
+    """(cost, audit, turns) of the cheapest edits of rows (role, text, fault), the ASCII-least audit first; by trying all edits."""
+    follows = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+    names = {"u": "user", "a": "assistant"}
+    best = {"": (0, "", [])}
+
+    def offer(found, state, option):
+        if state not in found or option[:2] < found[state][:2]:
+            found[state] = option
+
+    def inserted(states):
+        found = dict(states)
+        for _ in range(3):
+            for state, (cost, audit, turns) in list(found.items()):
+                for kind, name in names.items():
+                    if (state, kind) in follows:
+                        offer(found, kind, (cost + 2, audit + "I", [*turns, (name, "")]))
+        return found
+
+    for role, text, fault in rows:
+        found = {}
+        for state, (cost, audit, turns) in inserted(best).items():
+            offer(found, state, (cost + 3, audit + "D", turns))
+            if fault in ("", "truncated"):
+                more = fault == "truncated"
+                if (state, role[:1]) in follows:
+                    offer(found, role[:1], (cost + more, audit + "K", [*turns, (role, text)]))
+                for kind, name in names.items():
+                    if (state, kind) in follows:
+                        offer(found, kind, (cost + 2 + more, audit + "R", [*turns, (name, text)]))
+        best = found
+    ended = {state: option for state, option in inserted(best).items() if state in ("", "a")}
+    return min(ended.values(), key=lambda option: option[:2])
+
+
+def conversation_report(rows):
+    """What the repair tells of one conversation's rows (turn, role, text), in order."""
+    seen, judged = set(), []
+    for _, role, text in rows:
+        said = text.rstrip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not said else "duplicate" if (role, text) in seen else "" if said[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        judged.append((role, text, fault))
+    cost, audit, turns = repaired(judged)
+    numbers = [turn for turn, _, _ in rows if turn is not None]
+    told = {name: sum(f == name for _, _, f in judged) for name in ("blank", "duplicate", "truncated")}
+    return told | {
+        "gaps": max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0, "cost": cost, "audit": audit,
+        "illegal": sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in zip(rows, rows[1:])),
+        "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in turns).encode()).hexdigest(),
+    }
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(counts: dict):
+    """word: (form, root, n, n_near, form_n)"""
+    out = {}
+    for word, n in counts.items():
+        near = [v for v in counts if one_edit(word, v)]
+        best = min(near, key=lambda v: (-counts[v], v), default=None)
+        form = best if best is not None and counts[best] >= 2 * n else None
+        out[word] = [form, word, n, len(near), counts.get(form)]
+    for row in out.values():
+        while out[row[1]][0] is not None:
+            row[1] = out[row[1]][0]
+    return {word: tuple(row) for word, row in out.items()}

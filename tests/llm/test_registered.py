@@ -123,6 +123,24 @@ def test_chat_of_odd_rows(query, odd):
     assert rows[1]["n_turns"] == 4 and rows[2]["loss_chars"] == 0
 
 
+def test_repair_of_odd_rows(query, odd):
+    rows = {row["conv_id"]: row for row in query("op11_conversation_repair", odd)}
+    assert len(rows) == 4 and set(rows) == {None, 1, 2, 3}
+    empty = hashlib.sha256(b"").hexdigest()
+    for row in rows.values():
+        assert row["gaps"] == 0 and set(row["audit"]) <= set("DIKR") and (row["audit"] != "" or row["repaired_sha256"] == empty)
+    assert rows[2]["blank"] == 1 and rows[2]["audit"] == "D" and rows[2]["repaired_sha256"] == empty
+
+
+def test_minhash_of_odd_rows(query, odd):
+    rows = query("op12_minhash", odd)
+    found = by_id(rows)
+    assert len(rows) == len(DOCS)
+    assert found[1]["n_shingles"] == 0 and found[1]["component_id"] == 1 and found[1]["kept"]
+    assert found[4]["n_shingles"] == 1 and found[5]["component_id"] == 4 and not found[5]["kept"] and found[7]["component_id"] == 6
+    assert all(row["component_id"] == 8 and row["kept"] for row in rows if row["doc_id"] == 8)
+
+
 def test_every_stage_takes_odd_rows_and_empty_tables(spark, odd, tables):
     for folder in (odd, tables()):
         docs = spark.read.parquet(f"{folder}/documents.parquet")
