@@ -7,12 +7,12 @@ chance, so that the similarity is estimated as (E - C) / (1 - C), by counting bi
 more than six deviations below the threshold go; the others are confirmed on their whole shingle sets. At the threshold
 of 80 % a linked pair shares no key with a chance of (1 - 0.8^4)^40 = 7e-10 and is refuted by its estimate with one of about 1e-9.
 
-Copies of one set are one node from the start, combined before the shuffle. No key's members are paired with each other: the
-members with the most company in their keys are hubs, one for each key in the first round and four times as many in each
-further one, and members of other components are compared with them. A key is done when what is left of it is one
-component. Between rounds, members leave that can have no further link: a member needs four fifths of its shingles in
-texts of other components that are still open, and shingles found in one component only are told by the smallest
-and largest component that holds them. No link is lost by that, and a heavily edited copy in a large group needs no pairs.
+Copies of one set are one node from the start, combined before the shuffle. No key's members are paired with each other: in the
+first round the member with the most company in its keys is a key's hub, and the others are compared with it. A key is done when what is
+left of it is one component. Members of keys that are not done are mostly copies edited too much to be linked with anyone. They go
+on with exact keys: two sets that are alike share one of their rarest shingles, as many of these as their sizes let them
+differ in. Rarity is counted among the members left, and shingles under one component only come first and make no key, so a copy with
+enough edits of its own has no key at all. Further rounds take four times as many hubs each. No link is lost.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing (their component is their own id);
 a text of one word is one shingle; rows repeating an id each get a row; a null id is never the smallest unless alone, and
@@ -150,22 +150,29 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return pairs.select("a", "b", "text_a", "text").mapInArrow(run, "a long, b long")
 
 
-def _may_link(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The nodes (node, label, n) of ``members`` of whose shingles enough occur in texts of other labels."""
+def _rare_keys(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, node, n, label, short): of each node (node, label, n) the shingles that it cannot all lack in common with a partner, rarest first, as far
+    as they occur under several labels. Two sets that are alike share one of the rarest ``n - least common + 1`` shingles of the
+    larger and of the rarest ones of the smaller, marked short, where the least common number is higher."""
 
     def run(stream):
         for batch in batches(stream):
-            sets = shingle_sets(Words(batch.column(2), NOT_SPACE), size)
+            sets = shingle_sets(Words(batch.column(3), NOT_SPACE), size)
             counts = [len(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(np.asarray(batch.column(0)), counts)),
-                pa.array(np.repeat(np.asarray(batch.column(1)), counts)),
-            ], names=["shingle", "node", "label"])
+                pa.array(np.concatenate(sets).view(np.int64)), *(pa.array(np.repeat(np.asarray(batch.column(i)), counts)) for i in range(3)),
+            ], names=["key", "node", "n", "label"])
 
-    rows = members.join(texts, "node").select("node", "label", "text").mapInArrow(run, "shingle long, node long, label long")
-    mixed = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
-    found = rows.join(mixed, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("elsewhere"))
-    return members.join(found, "node").filter(100 * F.col("elsewhere") >= percent * F.col("n")).select("node")
+    rows = members.join(texts, "node").select("node", "n", "label", "text").mapInArrow(run, "key long, node long, n long, label long")
+    found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = rows.join(found.filter("low < high").select("key", "often"), "key")
+    # Shingles of one label only come first in the order of rarity, and meet nobody.
+    own = Window.partitionBy("node")
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "key"))
+    n = F.col("n")
+    most, least = n - F.ceil(n * percent / 100) + 1, n - F.ceil(2 * n * percent / (100 + percent)) + 1
+    rows = rows.withColumn("place", place).filter(F.col("place") <= most)
+    return rows.select("key", "node", "n", "label", (F.col("place") <= least).alias("short"))
 
 
 def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
@@ -175,7 +182,8 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         company = keys.groupBy("key").agg(F.count(F.lit(1)).alias("company")).filter("company > 1")
         shared = stage_table(keys.join(company, "key"), "shared")
         central = shared.groupBy("node").agg(F.sum("company").alias("central"))
-        left = stage_table(shared.drop("company").join(central, "node").withColumn("label", F.col("node")), "open")
+        left = shared.drop("company").join(central, "node").withColumns({"label": F.col("node"), "short": F.lit(True)})
+        left = stage_table(left, "open")
         signatures = sets.select("node", "signature").join(central.select("node"), "node", "left_semi").dropDuplicates(["node"])
         signatures = stage_table(signatures, "signatures")
         reps = stage_table(sets.groupBy("node").agg(F.min("id").alias("rep")), "reps")
@@ -183,9 +191,10 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         while True:
             order = Window.partitionBy("key").orderBy(F.desc("central"), "node")
             hubs = stage_table(left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= hubs_taken), "hubs")
-            hub = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "label")])
+            hub = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "label", "short")])
             sizes = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-            pairs = left.join(hub, "key").filter((F.col("label") != F.col("hub_label")) & sizes)
+            short = F.when(F.struct("n", "node") < F.struct("hub_n", "hub_node"), F.col("short")).otherwise(F.col("hub_short"))
+            pairs = left.join(hub, "key").filter((F.col("label") != F.col("hub_label")) & sizes & short)
             pairs = pairs.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
             pairs = stage_table(_estimated(pairs, signatures, percent), "pairs")
             if edges is None or not pairs.isEmpty():
@@ -198,11 +207,10 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             left = left.join(hubs.select("key", "node"), ["key", "node"], "left_anti").drop("label")
             left = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             left = _mixed_keys(stage_table(left, "left"))
-            if left.isEmpty():
-                return _stored(labels, "labels")
-            nodes = stage_table(left.select("node", "label", "n").distinct(), "nodes")
-            able = stage_table(_may_link(nodes, _texts(docs, reps, nodes.select("node"), size), size, percent), "able")
-            left = _mixed_keys(stage_table(left.join(able, "node", "left_semi"), "left"))
+            if hubs_taken == 1 and not left.isEmpty():
+                nodes = stage_table(left.groupBy("node", "label", "n", "central").agg(F.count(F.lit(1)).alias("keys")), "nodes")
+                rare = _rare_keys(nodes.select("node", "label", "n"), _texts(docs, reps, nodes.select("node"), size), size, percent)
+                left = _mixed_keys(stage_table(rare.join(nodes.select("node", "central"), "node"), "rare"))
             if left.isEmpty():
                 return _stored(labels, "labels")
             hubs_taken *= 4

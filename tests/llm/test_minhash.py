@@ -82,8 +82,16 @@ def test_many_rows_of_two_texts_are_one_pair(spark, monkeypatch):
     assert asked == [(1, 2)]
 
 
-def test_members_without_company_elsewhere_leave(spark):
-    rows = [(i, i, 10, f"a b c d e f g h i j x{i}") for i in range(3)] + [(9, 9, 10, "k l m n o p q r s t u")]
-    members = spark.createDataFrame([r[:3] for r in rows], "node long, label long, n long")
-    texts = spark.createDataFrame([(r[0], r[3]) for r in rows], "node long, text string")
-    assert {r.node for r in M._may_link(members, texts, 2, 80).collect()} == {0, 1, 2}
+def test_rare_keys_meet_in_every_alike_pair(spark):
+    rng = random.Random(11)
+    base = prose("base", 60)
+    texts = {i: _edited(rng, base, rng.choice([0, 0.02, 0.05, 0.1, 0.3])) for i in range(40)} | {99: "k l m n o p q r s t u"}
+    sets = {i: _sets(t) for i, t in texts.items()}
+    members = spark.createDataFrame([(i, i, len(s)) for i, s in sets.items()], "node long, label long, n long")
+    rows = M._rare_keys(members, spark.createDataFrame(list(texts.items()), "node long, text string"), 2, 80).collect()
+    keys = {i: {(r.key, r.short) for r in rows if r.node == i} for i in texts}
+    assert not keys[99]
+    for x in texts:
+        for y in texts:
+            if (len(sets[x]), x) < (len(sets[y]), y) and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                assert {k for k, short in keys[x] if short} & {k for k, _ in keys[y]}
