@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -34,9 +35,10 @@ def first_day(df: DataFrame, column: str = "date_mutation") -> date | None:
     return df.agg(F.min(column)).first()[0]
 
 
-def temporal_features(df: DataFrame, reference: date) -> DataFrame:
+def temporal_features(df: DataFrame, reference: date | Column) -> DataFrame:
     """Calendar parts, their position on the circle, and days since ``reference``."""
     day = F.col("date_mutation")
+    reference = reference if isinstance(reference, Column) else F.lit(reference)
     parts = calendar_features(day)
     month_sin, month_cos = cyclic(parts["mois"], 12)
     week_sin, week_cos = cyclic(parts["jour_semaine"], 7)
@@ -47,7 +49,7 @@ def temporal_features(df: DataFrame, reference: date) -> DataFrame:
             "mois_cos": month_cos,
             "jour_semaine_sin": week_sin,
             "jour_semaine_cos": week_cos,
-            "jours_depuis_debut": F.datediff(day, F.lit(reference)),
+            "jours_depuis_debut": F.datediff(day, reference),
         }
     )
 
@@ -82,15 +84,17 @@ class DepartmentStats:
     """
 
     table: DataFrame
+    keys: tuple[str, ...] = ("departement",)
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Rows with the figures of their department; unknown departments get NULL."""
-        return df.join(self.table, "departement", "left")
+        return df.join(self.table, list(self.keys), "left")
 
 
-def full_stats(df: DataFrame) -> DepartmentStats:
-    """Price mean, median, deviation and count, surface mean and median, to cents."""
-    figures = summarize(df, ["departement"], [_PRICE, _SURFACE])
+def full_stats(df: DataFrame, keys: Sequence[str] = ()) -> DepartmentStats:
+    """Price mean, median, deviation and count, surface mean and median, to cents; per department within ``keys``."""
+    by = [*keys, "departement"]
+    figures = summarize(df, by, [_PRICE, _SURFACE])
     wanted = {
         f"dept_{column}_{label}": (column, half_even(F.col(source), 2))
         for column, labels in {
@@ -100,7 +104,7 @@ def full_stats(df: DataFrame) -> DepartmentStats:
         for label, source in labels.items()
     }
     wanted["dept_valeur_fonciere_count"] = (_PRICE, F.col("n"))
-    return DepartmentStats(stage_table(spread(figures, ["departement"], wanted), "dept"))
+    return DepartmentStats(stage_table(spread(figures, by, wanted), "dept"), tuple(by))
 
 
 def training_stats(train: DataFrame) -> DepartmentStats:
@@ -159,6 +163,15 @@ def engineered(df: DataFrame) -> DataFrame:
     return interaction_features(geographic_features(rows, full_stats(rows)))
 
 
+def engineered_by(df: DataFrame, key: str = "segment") -> DataFrame:
+    """The features of :func:`engineered` for every value of ``key`` at once: first day and department figures are those
+    of the row's own group. There are few groups: the first days are one row each."""
+    first = F.broadcast(df.groupBy(key).agg(F.min("date_mutation").alias("_first")))
+    dated = temporal_features(with_department(df).join(first, key), F.col("_first")).drop("_first")
+    rows = surface_features(dated)
+    return interaction_features(geographic_features(rows, full_stats(rows, [key])))
+
+
 def leak_free(df: DataFrame) -> DataFrame:
     """Without the features that know the price of the row or of the whole set."""
     return df.drop(*[c for c in TARGET_DERIVED if c in df.columns])

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelion.operators.clean import clean
-from parcelion.operators.features import engineered
-from parcelion.operators.models import with_lot
+from parcelion.operators.features import engineered, engineered_by, leak_free
+from parcelion.operators.models import with_fold, with_lot
 from parcelion.operators.segments import clean_segments
 from parcelion.operators.silver import to_silver
 from parcelion.session import stage_table
@@ -64,3 +64,12 @@ def second_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Engineered features of the middle segment with the lot of each row."""
     return stored(spark, sf_dir, "features", lambda: with_lot(engineered(second_segment(spark, sf_dir))))
+
+
+def stored_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leak-free engineered features of all three segments, with the lot and the fold of each row."""
+
+    def build():
+        return with_fold(with_lot(leak_free(engineered_by(stored_segments(spark, sf_dir)))))
+
+    return stored(spark, sf_dir, "all-features", build)

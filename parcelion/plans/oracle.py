@@ -6,7 +6,8 @@ expressions. Iterative and random operators have no counterpart here.
 
 from __future__ import annotations
 
-from parcelion.plans.queries import COMMUNE, CUBE_YEAR, POSTAL_CODE, PROJECTION_YEAR
+from parcelion.operators.boosting import TIE, Settings
+from parcelion.plans.queries import COMMUNE, CUBE_YEAR, MEASURES, POSTAL_CODE, PROJECTION_YEAR
 
 ORACLE: dict[str, str] = {}
 
@@ -643,6 +644,125 @@ SELECT lot, {even(f'avg({_E})', 2)} AS moyenne, {even(f'stddev_pop({_E})', 2)} A
 sql("model_log_target", f"""
 SELECT segment, {even('a', 6)} AS asymetrie, abs(a) > 1.5 AS log FROM (SELECT segment, {_SKEW} AS a FROM tidy GROUP BY 1)""")
 
+# All three segments with their numeric features, for statements that go on with more tables.
+ALL_FEATURES = f""",
+first_days AS (SELECT segment, min(date_mutation) AS d0 FROM geo GROUP BY 1),
+roomy_all AS (
+  SELECT g.*, CAST(year(date_mutation) AS INTEGER) AS annee, CAST(month(date_mutation) AS INTEGER) AS mois,
+    CAST(quarter(date_mutation) AS INTEGER) AS trimestre, CAST(isodow(date_mutation) - 1 AS INTEGER) AS jour_semaine,
+    CAST(dayofyear(date_mutation) AS INTEGER) AS jour_annee, sin(2 * pi() * month(date_mutation) / 12) AS mois_sin,
+    cos(2 * pi() * month(date_mutation) / 12) AS mois_cos, sin(2 * pi() * (isodow(date_mutation) - 1) / 7) AS jour_semaine_sin,
+    cos(2 * pi() * (isodow(date_mutation) - 1) / 7) AS jour_semaine_cos, CAST(date_diff('day', d0, date_mutation) AS INTEGER) AS jours_depuis_debut,
+    ln(1 + surface_reelle_bati) AS log_surface, surface_reelle_bati * surface_reelle_bati AS surface_squared,
+    surface_reelle_bati / nombre_pieces_principales AS surface_par_piece, {lot('id_unique')} AS lot,
+    CAST(({hex_number(_DIGEST, 9)}) * 5 // 65536 AS INTEGER) AS pli
+  FROM geo g JOIN first_days f ON g.segment = f.segment WHERE surface_reelle_bati > 0 AND nombre_pieces_principales > 0
+),
+frame_all AS (
+  SELECT r.*, annee * surface_reelle_bati AS annee_x_surface, d.* EXCLUDE (segment, departement)
+  FROM roomy_all r JOIN (
+    SELECT segment, departement, {even('avg(surface_reelle_bati)', 2)} AS dept_surface_reelle_bati_mean,
+      {even('quantile_cont(surface_reelle_bati, 0.5)', 2)} AS dept_surface_reelle_bati_median, count(*) AS dept_valeur_fonciere_count
+    FROM roomy_all GROUP BY 1, 2) d ON r.segment = d.segment AND r.departement = d.departement
+)"""
+
+# Normal equations by elimination without row changes: one step per column, all models at once.
+_COUNT = len(MEASURES)
+_EQUATIONS = f"""{ALL_FEATURES},
+learn AS (
+  SELECT segment, pli, [{', '.join(f"CAST({c} AS DOUBLE)" for c in [*MEASURES, 'valeur_fonciere'])}] AS v FROM frame_all WHERE lot = 'train'
+),
+means AS (
+  SELECT segment, list(m ORDER BY i) AS m, list(w ORDER BY i) AS w FROM (
+    SELECT segment, i, avg(x) AS m, CASE WHEN quantile_cont(x, 0.75) = quantile_cont(x, 0.25) THEN 1.0::DOUBLE ELSE quantile_cont(x, 0.75) - quantile_cont(x, 0.25) END AS w
+    FROM (SELECT segment, unnest(v) AS x, unnest(range(1, {_COUNT + 2})) AS i FROM learn) GROUP BY 1, 2) GROUP BY 1
+),
+shifted AS (
+  SELECT l.segment, pli, list_concat([1.0::DOUBLE], [v[i] - m[i] FOR i IN range(1, {_COUNT + 2})]) AS z FROM learn l JOIN means ON l.segment = means.segment
+),
+cells AS (
+  SELECT segment, pli, i, j, sum(a * b) AS s FROM (
+    SELECT segment, pli, z, i, a, unnest(range(1, {_COUNT + 3})) AS j, unnest(z) AS b
+    FROM (SELECT segment, pli, z, unnest(range(1, {_COUNT + 3})) AS i, unnest(z) AS a FROM shifted)
+  ) WHERE i <= j GROUP BY 1, 2, 3, 4
+),
+models AS (SELECT segment, pli AS tenu FROM cells GROUP BY 1, 2 UNION ALL SELECT DISTINCT segment, -1 FROM cells),
+sums AS (
+  SELECT c.segment, tenu, i, j, sum(s) FILTER (pli <> tenu) AS s, sum(s) FILTER (pli = tenu) AS held
+  FROM cells c JOIN models m ON c.segment = m.segment GROUP BY 1, 2, 3, 4
+),
+blocks AS (
+  SELECT segment, tenu, list(line ORDER BY i) AS g, list(other ORDER BY i) AS h FROM (
+    SELECT segment, tenu, i, list(s ORDER BY j) AS line, list(held ORDER BY j) AS other FROM (
+      SELECT segment, tenu, i, j, s, held FROM sums UNION ALL SELECT segment, tenu, j, i, s, held FROM sums WHERE i < j
+    ) GROUP BY 1, 2, 3
+  ) GROUP BY 1, 2
+),
+alphas AS (SELECT * FROM (VALUES ('Linear Regression', 0.0::DOUBLE), ('Ridge', 1.0::DOUBLE)) t(modele, alpha)),
+solved AS (
+  SELECT b.segment, tenu, modele, 0 AS k, g, h,
+    [[(g[i][j] - g[1][i] * g[1][j] / g[1][1] + CASE WHEN i = j THEN alpha * w[i - 1] * w[i - 1] ELSE 0 END)
+      / (w[i - 1] * CASE WHEN j = {_COUNT + 2} THEN 1 ELSE w[j - 1] END) FOR j IN range(2, {_COUNT + 3})] FOR i IN range(2, {_COUNT + 2})] AS a
+  FROM blocks b JOIN means ON b.segment = means.segment, alphas
+  UNION ALL
+  SELECT segment, tenu, modele, k + 1, g, h,
+    [CASE WHEN i = k + 1 THEN [x / a[k + 1][k + 1] FOR x IN a[i]] ELSE [a[i][j] - a[i][k + 1] * a[k + 1][j] / a[k + 1][k + 1] FOR j IN range(1, {_COUNT + 2})] END FOR i IN range(1, {_COUNT + 1})]
+  FROM solved WHERE k < {_COUNT}
+),
+fitted AS (
+  SELECT s.segment, tenu, modele, g, h, m, [a[i][{_COUNT + 1}] / w[i] FOR i IN range(1, {_COUNT + 1})] AS b FROM solved s JOIN means ON s.segment = means.segment WHERE k = {_COUNT}
+),
+complete AS (
+  SELECT *, g[1][{_COUNT + 2}] / g[1][1] - list_sum([b[i] * g[1][i + 1] / g[1][1] FOR i IN range(1, {_COUNT + 1})]) AS b0 FROM fitted
+)"""
+
+
+def _significant(value: str, digits: int) -> str:
+    power = f"(floor(log10(abs({value}))) - {digits - 1})"
+    scale = f"pow(10.0::DOUBLE, abs({power}))"
+    return f"""CASE WHEN {value} = 0 THEN 0.0::DOUBLE WHEN {power} > 0 THEN round_even({value} / {scale}, 0) * {scale}
+      ELSE round_even({value} * {scale}, 0) / {scale} END"""
+
+
+def _recursive(name: str, body: str) -> None:
+    ORACLE[name] = f"{LAYERS.replace('WITH', 'WITH RECURSIVE', 1)}{body.strip()}"
+
+
+_recursive("linear_coefficients", f"""{_EQUATIONS}
+SELECT segment, modele, variable, {_significant('c', 5)} AS coefficient FROM (
+  SELECT segment, modele, unnest([{', '.join(f"'{c}'" for c in ['constante', *MEASURES])}]) AS variable,
+    unnest(list_concat([b0 + m[{_COUNT + 1}] - list_sum([b[i] * m[i] FOR i IN range(1, {_COUNT + 1})])], b)) AS c
+  FROM complete WHERE tenu = -1)""")
+_recursive("linear_folds", f"""{_EQUATIONS},
+sides AS (SELECT *, list_concat([-b0], [-x FOR x IN b], [1.0::DOUBLE]) AS v FROM complete WHERE tenu >= 0),
+errors AS (
+  SELECT *, list_sum([v[i] * list_sum([h[i][j] * v[j] FOR j IN range(1, {_COUNT + 3})]) FOR i IN range(1, {_COUNT + 3})]) AS e,
+    h[{_COUNT + 2}][{_COUNT + 2}] - h[1][{_COUNT + 2}] * h[1][{_COUNT + 2}] / h[1][1] AS whole FROM sides
+)
+SELECT segment, modele, tenu AS pli, CAST(g[1][1] AS BIGINT) AS appris, CAST(h[1][1] AS BIGINT) AS tenus, {_significant('sqrt(e / h[1][1])', 8)} AS rmse,
+  {even('1 - e / whole', 6)} AS r2 FROM errors""")
+
+_BINS, _LEAST, _PENALTY, _TIE = Settings.bins, Settings.least_rows, Settings.penalty, TIE
+sql("boosting_splits", f"""{ALL_FEATURES},
+learn AS (SELECT segment, valeur_fonciere AS y, [{', '.join(f"CAST({c} AS DOUBLE)" for c in MEASURES)}] AS v FROM frame_all WHERE lot = 'train'),
+long AS (SELECT segment, y, unnest(v) AS x, unnest(range(1, {len(MEASURES) + 1})) AS f FROM learn),
+edges AS (SELECT DISTINCT f, unnest(quantile_cont(x, [{', '.join(str(i / _BINS) for i in range(1, _BINS))}])) AS e FROM long GROUP BY f),
+starts AS (SELECT segment, avg(y) AS y0 FROM learn GROUP BY 1),
+values AS (SELECT l.segment, f, x, sum(y0 - y) AS g, count(*) AS n FROM long l JOIN starts s ON l.segment = s.segment GROUP BY 1, 2, 3),
+halves AS (
+  SELECT v.segment, v.f, e, sum(g) FILTER (x <= e) AS gl, sum(n) FILTER (x <= e) AS nl, sum(g) FILTER (x > e) AS gr, sum(n) FILTER (x > e) AS nr
+  FROM values v JOIN edges ON v.f = edges.f GROUP BY 1, 2, 3
+),
+gains AS (
+  SELECT *, (gl * gl / (nl + {_PENALTY}::DOUBLE) + gr * gr / (nr + {_PENALTY}::DOUBLE) - (gl + gr) * (gl + gr) / (nl + nr + {_PENALTY}::DOUBLE)) / 2 AS gain
+  FROM halves WHERE nl >= {_LEAST} AND nr >= {_LEAST}
+),
+first AS (
+  SELECT * FROM (SELECT *, max(gain) OVER (PARTITION BY segment) AS top FROM gains) WHERE gain >= top - {_TIE}::DOUBLE * top
+  QUALIFY row_number() OVER (PARTITION BY segment ORDER BY f, e) = 1
+)
+SELECT segment, ([{', '.join(f"'{c}'" for c in MEASURES)}])[f] AS variable, {_significant('e', 8)} AS borne, {_significant('gain', 8)} AS gain FROM first""")
+
 _P = "valeur_fonciere_predite"
 _MEANS = f"SELECT departement, {even(f'avg({_P})', 2)} AS prix_moyen FROM predicted GROUP BY 1"
 sql("predictions_by_department", _MEANS)

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelion.functions.dates import move_to_year
 from parcelion.functions.numeric import half_even
-from parcelion.operators import clean, distribution, explore, features, gold, graph, kpis, models
+from parcelion.operators import boosting, clean, distribution, explore, features, gold, gram, graph, kpis, models
 from parcelion.operators import segments as seg
 from parcelion.operators import silver as silver_ops
 from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
 from parcelion.plans import analysis
 from parcelion.plans.base import (
-    bronze, second_segment, silver, stored, stored_features, stored_segments, stored_silver, window_silver,
+    bronze, second_segment, silver, stored, stored_all_features, stored_features, stored_segments, stored_silver, window_silver,
 )
 from parcelion.schemas import SILVER
 from parcelion.session import fresh_path, stage_table
@@ -847,6 +849,77 @@ def _coefficients(rows: DataFrame, model) -> DataFrame:
     )
 
 
+# All numeric leak-free features but ``dept_densite_transactions``, which repeats the department's count.
+MEASURES = [
+    _SURFACE, "nombre_pieces_principales", "annee", "mois", "trimestre", "jour_semaine", "jour_annee", "mois_sin", "mois_cos",
+    "jour_semaine_sin", "jour_semaine_cos", "jours_depuis_debut", "log_surface", "surface_squared", "surface_par_piece",
+    "annee_x_surface", "dept_surface_reelle_bati_mean", "dept_surface_reelle_bati_median", "dept_valeur_fonciere_count",
+]
+LINEAR = {"Linear Regression": 0.0, "Ridge": 1.0}
+
+
+def _group_models(spark, sf) -> gram.GroupModels:
+    """Gram blocks of the training rows of all segments; ridge is that of robust-scaled columns."""
+    train = stored_all_features(spark, sf).where(F.col("lot") == "train")
+    quartiles = distribution.summarize(train, ["segment"], MEASURES, (0.25, 0.75)).collect()
+    spans = {(r["segment"], r["variable"]): (r["p75"] - r["p25"]) or 1.0 for r in quartiles}
+    widths = {s: np.array([spans[s, c] for c in MEASURES]) for s in {s for s, _ in spans}}
+    return gram.group_models(train, "segment", "pli", MEASURES, _PRICE, widths)
+
+
+def _significant(value: float, digits: int = 5) -> float:
+    """``value`` to so many digits."""
+    if not value:
+        return 0.0
+    power = math.floor(math.log10(abs(value))) - digits + 1
+    scale = 10.0 ** abs(power)
+    return float(np.rint(value / scale) * scale if power > 0 else np.rint(value * scale) / scale)
+
+
+@query
+def linear_coefficients(spark, sf):
+    """Least squares and ridge on all numeric features of each segment's training rows."""
+    found = _group_models(spark, sf)
+    rows = [
+        (segment, name, variable or "constante", _significant(value))
+        for segment in found.groups() for name, alpha in LINEAR.items() for variable, value in found.coefficients(segment, alpha).items()
+    ]
+    return spark.createDataFrame(rows, "segment int, modele string, variable string, coefficient double")
+
+
+@query
+def linear_folds(spark, sf):
+    """Error of both on each fold of the training rows, learnt on the four others."""
+    found = _group_models(spark, sf)
+    rows = [
+        (segment, name, fold, learnt, held, _significant(rmse, 8), float(np.rint(r2 * 1e6) / 1e6) + 0.0)
+        for segment in found.groups() for name, alpha in LINEAR.items() for fold, learnt, held, rmse, r2 in found.folds(segment, alpha)
+    ]
+    return spark.createDataFrame(rows, "segment int, modele string, pli int, appris long, tenus long, rmse double, r2 double")
+
+
+@query
+def boosting_splits(spark, sf):
+    """The first split of each segment's first leaf-wise tree, from the histograms of all its training rows."""
+    train = stored_all_features(spark, sf).where(F.col("lot") == "train")
+    found = boosting.fit(train, "segment", MEASURES, _PRICE, boosting.Settings(rounds=1, depth=1))
+    rows = []
+    for segment, (tree,) in found.trees.items():
+        if tree.feature:
+            edge = float(found.edges[tree.feature[0]][tree.bin[0]])
+            rows.append((segment, MEASURES[tree.feature[0]], _significant(edge, 8), _significant(tree.gain[0], 8)))
+    return spark.createDataFrame(rows, "segment int, variable string, borne double, gain double")
+
+
+@query
+def boosted_scores(spark, sf):
+    """A hundred leaf-wise trees per segment, learnt on all its training rows, on its validation and test rows."""
+    rows = stored_all_features(spark, sf)
+    found = boosting.fit(rows.where(F.col("lot") == "train"), "segment", MEASURES, _PRICE)
+    checked = rows.where(F.col("lot") != "train").select("segment", "lot", _PRICE, *MEASURES)
+    return models.metrics(found.predict(checked, "segment"), ["segment", "lot"])
+
+
 def _scored(spark, sf) -> DataFrame:
     """Validation and test rows with the training mean of their department as prediction."""
 
