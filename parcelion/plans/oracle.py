@@ -7,7 +7,7 @@ expressions. Iterative and random operators have no counterpart here.
 from __future__ import annotations
 
 from parcelion.operators.boosting import TIE, Settings
-from parcelion.plans.queries import COMMUNE, CUBE_YEAR, MEASURES, POSTAL_CODE, PROJECTION_YEAR
+from parcelion.plans.queries import COMMUNE, CUBE_YEAR, FOLD_MEASURES, MEASURES, POSTAL_CODE, PROJECTION_YEAR
 
 ORACLE: dict[str, str] = {}
 
@@ -667,23 +667,26 @@ frame_all AS (
 )"""
 
 # Normal equations by elimination without row changes: one step per column, all models at once.
-_COUNT = len(MEASURES)
-_EQUATIONS = f"""{ALL_FEATURES},
-learn AS (
-  SELECT segment, pli, [{', '.join(f"CAST({c} AS DOUBLE)" for c in [*MEASURES, 'valeur_fonciere'])}] AS v FROM frame_all WHERE lot = 'train'
-),
+def _vector(columns: list[str]) -> str:
+    return f"[{', '.join(f'CAST({c} AS DOUBLE)' for c in columns)}]"
+
+
+def _equations(count: int, learn: str) -> str:
+    """``learn`` selects segment, pli and the vector v of ``count`` measures and the price."""
+    return f"""{ALL_FEATURES},
+learn AS ({learn}),
 means AS (
   SELECT segment, list(m ORDER BY i) AS m, list(w ORDER BY i) AS w FROM (
     SELECT segment, i, avg(x) AS m, CASE WHEN quantile_cont(x, 0.75) = quantile_cont(x, 0.25) THEN 1.0::DOUBLE ELSE quantile_cont(x, 0.75) - quantile_cont(x, 0.25) END AS w
-    FROM (SELECT segment, unnest(v) AS x, unnest(range(1, {_COUNT + 2})) AS i FROM learn) GROUP BY 1, 2) GROUP BY 1
+    FROM (SELECT segment, unnest(v) AS x, unnest(range(1, {count + 2})) AS i FROM learn) GROUP BY 1, 2) GROUP BY 1
 ),
 shifted AS (
-  SELECT l.segment, pli, list_concat([1.0::DOUBLE], [v[i] - m[i] FOR i IN range(1, {_COUNT + 2})]) AS z FROM learn l JOIN means ON l.segment = means.segment
+  SELECT l.segment, pli, list_concat([1.0::DOUBLE], [v[i] - m[i] FOR i IN range(1, {count + 2})]) AS z FROM learn l JOIN means ON l.segment = means.segment
 ),
 cells AS (
   SELECT segment, pli, i, j, sum(a * b) AS s FROM (
-    SELECT segment, pli, z, i, a, unnest(range(1, {_COUNT + 3})) AS j, unnest(z) AS b
-    FROM (SELECT segment, pli, z, unnest(range(1, {_COUNT + 3})) AS i, unnest(z) AS a FROM shifted)
+    SELECT segment, pli, z, i, a, unnest(range(1, {count + 3})) AS j, unnest(z) AS b
+    FROM (SELECT segment, pli, z, unnest(range(1, {count + 3})) AS i, unnest(z) AS a FROM shifted)
   ) WHERE i <= j GROUP BY 1, 2, 3, 4
 ),
 models AS (SELECT segment, pli AS tenu FROM cells GROUP BY 1, 2 UNION ALL SELECT DISTINCT segment, -1 FROM cells),
@@ -702,21 +705,25 @@ alphas AS (SELECT * FROM (VALUES ('Linear Regression', 0.0::DOUBLE), ('Ridge', 1
 solved AS (
   SELECT b.segment, tenu, modele, 0 AS k, g, h,
     [[(g[i][j] - g[1][i] * g[1][j] / g[1][1] + CASE WHEN i = j THEN alpha * w[i - 1] * w[i - 1] ELSE 0 END)
-      / (w[i - 1] * CASE WHEN j = {_COUNT + 2} THEN 1 ELSE w[j - 1] END) FOR j IN range(2, {_COUNT + 3})] FOR i IN range(2, {_COUNT + 2})] AS a
+      / (w[i - 1] * CASE WHEN j = {count + 2} THEN 1 ELSE w[j - 1] END) FOR j IN range(2, {count + 3})] FOR i IN range(2, {count + 2})] AS a
   FROM blocks b JOIN means ON b.segment = means.segment, alphas
   UNION ALL
   SELECT segment, tenu, modele, k + 1, g, h,
-    [CASE WHEN i = k + 1 THEN [x / a[k + 1][k + 1] FOR x IN a[i]] ELSE [a[i][j] - a[i][k + 1] * a[k + 1][j] / a[k + 1][k + 1] FOR j IN range(1, {_COUNT + 2})] END FOR i IN range(1, {_COUNT + 1})]
-  FROM solved WHERE k < {_COUNT}
+    [CASE WHEN i = k + 1 THEN [x / a[k + 1][k + 1] FOR x IN a[i]] ELSE [a[i][j] - a[i][k + 1] * a[k + 1][j] / a[k + 1][k + 1] FOR j IN range(1, {count + 2})] END FOR i IN range(1, {count + 1})]
+  FROM solved WHERE k < {count}
 ),
 fitted AS (
-  SELECT s.segment, tenu, modele, g, h, m, [a[i][{_COUNT + 1}] / w[i] FOR i IN range(1, {_COUNT + 1})] AS b FROM solved s JOIN means ON s.segment = means.segment WHERE k = {_COUNT}
+  SELECT s.segment, tenu, modele, g, h, m, [a[i][{count + 1}] / w[i] FOR i IN range(1, {count + 1})] AS b FROM solved s JOIN means ON s.segment = means.segment WHERE k = {count}
 ),
 complete AS (
-  SELECT *, g[1][{_COUNT + 2}] / g[1][1] - list_sum([b[i] * g[1][i + 1] / g[1][1] FOR i IN range(1, {_COUNT + 1})]) AS b0 FROM fitted
+  SELECT *, g[1][{count + 2}] / g[1][1] - list_sum([b[i] * g[1][i + 1] / g[1][1] FOR i IN range(1, {count + 1})]) AS b0 FROM fitted
 )"""
 
 
+_COUNT = len(MEASURES)
+_EQUATIONS = _equations(_COUNT, f"SELECT segment, pli, {_vector([*MEASURES, 'valeur_fonciere'])} AS v FROM frame_all WHERE lot = 'train'")
+
+
 def _significant(value: str, digits: int) -> str:
     power = f"(floor(log10(abs({value}))) - {digits - 1})"
     scale = f"pow(10.0::DOUBLE, abs({power}))"
@@ -733,15 +740,36 @@ SELECT segment, modele, variable, {_significant('c', 5)} AS coefficient FROM (
   SELECT segment, modele, unnest([{', '.join(f"'{c}'" for c in ['constante', *MEASURES])}]) AS variable,
     unnest(list_concat([b0 + m[{_COUNT + 1}] - list_sum([b[i] * m[i] FOR i IN range(1, {_COUNT + 1})])], b)) AS c
   FROM complete WHERE tenu = -1)""")
-_recursive("linear_folds", f"""{_EQUATIONS},
+
+
+def _errors(count: int) -> str:
+    return f"""
 sides AS (SELECT *, list_concat([-b0], [-x FOR x IN b], [1.0::DOUBLE]) AS v FROM complete WHERE tenu >= 0),
 errors AS (
-  SELECT *, list_sum([v[i] * list_sum([h[i][j] * v[j] FOR j IN range(1, {_COUNT + 3})]) FOR i IN range(1, {_COUNT + 3})]) AS e,
-    h[{_COUNT + 2}][{_COUNT + 2}] - h[1][{_COUNT + 2}] * h[1][{_COUNT + 2}] / h[1][1] AS whole FROM sides
-)
+  SELECT *, list_sum([v[i] * list_sum([h[i][j] * v[j] FOR j IN range(1, {count + 3})]) FOR i IN range(1, {count + 3})]) AS e,
+    h[{count + 2}][{count + 2}] - h[1][{count + 2}] * h[1][{count + 2}] / h[1][1] AS whole FROM sides
+)"""
+
+
+_recursive("linear_folds", f"""{_EQUATIONS},{_errors(_COUNT)}
 SELECT segment, modele, tenu AS pli, CAST(g[1][1] AS BIGINT) AS appris, CAST(h[1][1] AS BIGINT) AS tenus, {_significant('sqrt(e / h[1][1])', 8)} AS rmse,
   {even('1 - e / whole', 6)} AS r2 FROM errors""")
 
+_FOLD_STATS = """
+  SELECT r.segment, departement, held, avg(valeur_fonciere) AS dept_mean_price, quantile_cont(valeur_fonciere, 0.5) AS dept_median_price,
+    stddev_samp(valeur_fonciere) AS dept_std_price, count(*) AS dept_count_trans, avg(surface_reelle_bati) AS dept_mean_surface
+  FROM roomy_all r, range(5) t(held) WHERE lot = 'train' AND pli <> held GROUP BY 1, 2, 3"""
+sql("fold_dept_stats", f"""{ALL_FEATURES}
+SELECT segment, departement, CAST(held AS INTEGER) AS held, dept_count_trans, {', '.join(f"{even(c, 2)} AS {c}" for c in [
+    'dept_mean_price', 'dept_median_price', 'dept_std_price', 'dept_mean_surface'])} FROM ({_FOLD_STATS})""")
+_FOLDED = _equations(len(FOLD_MEASURES), f"""
+  SELECT f.segment * 100 + held AS segment, CAST(pli = held AS INTEGER) AS pli, {_vector([*FOLD_MEASURES, 'valeur_fonciere'])} AS v
+  FROM frame_all f JOIN ({_FOLD_STATS}) d ON f.segment = d.segment AND f.departement = d.departement
+  WHERE lot = 'train' AND dept_std_price IS NOT NULL""")
+_recursive("fold_cross_validation", f"""{_FOLDED},{_errors(len(FOLD_MEASURES))}
+SELECT CAST(segment // 100 AS INTEGER) AS segment, CAST(segment % 100 AS INTEGER) AS pli, CAST(g[1][1] AS BIGINT) AS appris, CAST(h[1][1] AS BIGINT) AS tenus,
+  {_significant('sqrt(e / h[1][1])', 8)} AS rmse, {even('1 - e / whole', 6)} AS r2 FROM errors WHERE tenu = 1 AND modele = 'Linear Regression'""")
+
 _BINS, _LEAST, _PENALTY, _TIE = Settings.bins, Settings.least_rows, Settings.penalty, TIE
 sql("boosting_splits", f"""{ALL_FEATURES},
 learn AS (SELECT segment, valeur_fonciere AS y, [{', '.join(f"CAST({c} AS DOUBLE)" for c in MEASURES)}] AS v FROM frame_all WHERE lot = 'train'),

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelion.functions.dates import move_to_year
 from parcelion.functions.numeric import half_even
-from parcelion.operators import boosting, clean, distribution, explore, features, gold, gram, graph, kpis, models
+from parcelion.operators import (
+    boosting, clean, distribution, explore, features, foldstats, gold, gram, graph, kpis, models, neighbours,
+)
 from parcelion.operators import segments as seg
 from parcelion.operators import silver as silver_ops
 from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
@@ -898,6 +900,52 @@ def linear_folds(spark, sf):
     return spark.createDataFrame(rows, "segment int, modele string, pli int, appris long, tenus long, rmse double, r2 double")
 
 
+@query
+def information_ranking(spark, sf):
+    """The ten measures that tell most about the price, per segment, by nearest neighbours over all training rows."""
+    train = stored_all_features(spark, sf).where(F.col("lot") == "train")
+    found = neighbours.neighbour_information(train, "segment", MEASURES, _PRICE, "id_unique")
+    # A segment has one row per measure.
+    place = F.row_number().over(Window.partitionBy("segment").orderBy(F.desc("information"), "variable"))
+    return found.withColumn("rang", place).where(F.col("rang") <= 10).select(F.col("segment").cast("int").alias("segment"), "rang", "variable", "information")
+
+
+def _fold_stats(spark, sf) -> DataFrame:
+    def build():
+        train = stored_all_features(spark, sf).where(F.col("lot") == "train")
+        return foldstats.department_folds(train, ["segment", "departement"])
+
+    return stored(spark, sf, "fold-stats", build)
+
+
+@query
+def fold_dept_stats(spark, sf):
+    """Department figures of each segment's training rows without each of five folds."""
+    return _rounded(_fold_stats(spark, sf), ["dept_mean_price", "dept_median_price", "dept_std_price", "dept_mean_surface"])
+
+
+# Measures of the row itself, and the department figures that a fold may know.
+OWN_MEASURES = [c for c in MEASURES if not c.startswith("dept_")]
+FOLD_MEASURES = [*OWN_MEASURES, "dept_mean_price", "dept_median_price", "dept_std_price", "dept_count_trans", "dept_mean_surface"]
+
+
+@query
+def fold_cross_validation(spark, sf):
+    """Least squares on measures and department figures, where a fold's model and its figures come from the other
+    folds; every training row is scored once."""
+    train = stored_all_features(spark, sf).where(F.col("lot") == "train").select("segment", "departement", "pli", _PRICE, *OWN_MEASURES)
+    joined = train.join(_fold_stats(spark, sf), ["segment", "departement"]).dropna(subset=FOLD_MEASURES)
+    keyed = joined.withColumns({"modele": F.col("segment") * 100 + F.col("held"), "tenu": (F.col("pli") == F.col("held")).cast("int")})
+    found = gram.group_models(stage_table(keyed, "folds"), "modele", "tenu", FOLD_MEASURES, _PRICE)
+    rows = []
+    for number in found.groups():
+        learnt, held = (found.blocks.get((number, tenu)) for tenu in (0, 1))
+        if learnt and held:
+            rmse, r2 = held.errors(learnt.solve())
+            rows.append((*divmod(number, 100), learnt.rows, held.rows, _significant(rmse, 8), float(np.rint(r2 * 1e6) / 1e6) + 0.0))
+    return spark.createDataFrame(rows, "segment int, pli int, appris long, tenus long, rmse double, r2 double")
+
+
 @query
 def boosting_splits(spark, sf):
     """The first split of each segment's first leaf-wise tree, from the histograms of all its training rows."""
@@ -1025,11 +1073,11 @@ def model_leakage(spark, sf):
 
 @query
 def model_cross_validation(spark, sf):
-    """Five folds of the training rows."""
+    """Five folds of the training rows; every row is scored."""
     rows = features.leak_free(stored_features(spark, sf)).where(F.col("lot") == "train").drop("lot")
     columns = models.default_features(rows)
-    train = stage_table(models.with_fold(_bounded(features.complete_rows(rows, columns))), "folds")
-    return models.cross_validate(models.random_forest, train, columns)
+    train = stage_table(models.with_fold(features.complete_rows(rows, columns)), "folds")
+    return models.cross_validate(models.random_forest, train, columns, learn=_bounded)
 
 
 @query
