@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelion import schemas
 from parcelion.functions.text import blank_to
-from parcelion.session import stage_table
+from parcelion.session import path_exists, stage_table
 
 UNKNOWN_NATURE = "Inconnue"
 UNKNOWN_TYPE = "Inconnu"
@@ -76,6 +76,43 @@ def save_graph(graph: Graph, path: str) -> None:
         table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+# What identifies a node or an edge: the rest of a row follows from it.
+KEYS = {
+    "nodes_nature": ["nom"], "nodes_type": ["nom"], "nodes_commune": ["nom"], "nodes_mutation": ["id"],
+    "a_pour_type": ["nature", "type"], "a_pour_lieu": ["type", "commune"], "a_enregistre": ["commune", "mutation_id"],
+}
+BUCKETS = 64
+
+
+def merge_graph(spark: SparkSession, graph: Graph, path: str) -> DataFrame:
+    """Add to a stored graph the nodes and edges that it does not have, and tell what came: (table, total, charges, ignores).
+
+    Tables are stored by hash bucket of their key. Only the buckets that the load touches are read, and only by their keys; new rows are
+    appended to them, nothing is rewritten. A load that is repeated, or breaks off and comes again, adds what is missing.
+    """
+    counts = []
+    for name, table in graph.tables().items():
+        key, target = KEYS[name], f"{path}/{name}"
+        bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+        fresh = stage_table(table.withColumn("seau", bucket).dropDuplicates(key), "load")
+        total = table.count()
+        new = fresh
+        if path_exists(spark, target):
+            touched = [r.seau for r in fresh.select("seau").distinct().collect()]
+            known = spark.read.schema(fresh.schema).parquet(target).where(F.col("seau").isin(touched)).select("seau", *key)
+            new = stage_table(fresh.join(known, ["seau", *key], "left_anti"), "new")
+        added = new.count()
+        if added or not path_exists(spark, target):
+            new.write.mode("append").partitionBy("seau").parquet(target)
+        counts.append((name, total, added, total - added))
+    return spark.createDataFrame(counts, "table string, total long, charges long, ignores long")
+
+
+def merged_graph(spark: SparkSession, path: str) -> Graph:
+    """The graph stored by :func:`merge_graph`."""
+    return Graph(**{name: spark.read.parquet(f"{path}/{name}").drop("seau") for name in Graph.__dataclass_fields__})
+
+
 def load_graph(spark: SparkSession, path: str) -> Graph:
     return Graph(**{name: spark.read.parquet(f"{path}/{name}") for name in Graph.__dataclass_fields__})
 
@@ -131,6 +168,26 @@ def first_paths(found: DataFrame, rows: int = 100) -> DataFrame:
     return found.orderBy("nature", "type", "commune", "date", "id").limit(rows)
 
 
+def ranked_paths(
+    graph: Graph, nature: str | None = None, type_name: str | None = None, commune: str | None = None,
+    known_types_only: bool = False, rows: int = 100,
+) -> DataFrame:
+    """What :func:`first_paths` gives of :func:`paths`, without building the paths. Every route to a commune with sales holds a path, so the first
+    ``rows`` paths lie on the first ``rows`` routes, and on each of these among the first ``rows`` sales of its commune: that many sales of that many communes
+    are the most that meet."""
+    routes = _routes(graph, nature, type_name, commune)
+    if known_types_only:
+        routes = routes.where(F.col("type") != UNKNOWN_TYPE)
+    with_sales = graph.a_enregistre.select("commune").distinct()
+    # At most ``rows`` routes, whatever the data.
+    first = routes.join(with_sales, "commune", "left_semi").orderBy("nature", "type", "commune").limit(rows)
+    first = stage_table(first.select("nature", "type", "commune"), "routes")
+    reached = sales(graph).join(F.broadcast(first.select("commune").distinct()), "commune", "left_semi")
+    place = F.row_number().over(Window.partitionBy("commune").orderBy("date", "id"))
+    reached = reached.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")
+    return first_paths(reached.join(F.broadcast(first), "commune").select("nature", "type", "commune", "id", "date", "valeur"), rows)
+
+
 def path_counts(graph: Graph) -> DataFrame:
     """Number of paths per (nature, type): sales are counted per commune before the
     hops multiply them, so the paths themselves are never built."""

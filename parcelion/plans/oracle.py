@@ -339,6 +339,7 @@ UNION ALL SELECT 'a_pour_type', count(*) FROM g_nt
 UNION ALL SELECT 'a_pour_lieu', count(*) FROM g_tc
 UNION ALL SELECT 'a_enregistre', count(*) FROM g"""
 sql("graph_nodes", _NODE_COUNTS)
+sql("graph_merged", _NODE_COUNTS)
 sql("graph_reloaded", _NODE_COUNTS)
 sql("graph_wiped", f'SELECT "table", 0::BIGINT AS nombre FROM ({_NODE_COUNTS})')
 sql("graph_edges_type", "SELECT * FROM g_nt")
@@ -494,6 +495,39 @@ SELECT '{c}' AS variable, n AS count, {even('mean', 2)} AS mean, {even('std', 2)
 FROM (SELECT {_STATS.format(v=c)} FROM silver)"""
     for c in ["valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales"]))
 
+# --- loads ------------------------------------------------------------------------------
+
+_AFTER = """(SELECT * FROM silver WHERE date_mutation >= DATE '1996-01-01' AND date_mutation < DATE '1999-01-01'
+  AND (year(date_mutation) <> 1997 OR (month(date_mutation) <> 6 AND (month(date_mutation) <> 7 OR valeur_fonciere > 500000))))"""
+sql("silver_published", f"SELECT * FROM {_AFTER}")
+sql("cube_incremental", f"""
+SELECT type_local, commune, CAST(year(date_mutation) AS INTEGER) AS annee, count(*) AS nb_ventes,
+  {even('sum(valeur_fonciere)', 2)} AS total_valeur_fonciere, {even('avg(surface_reelle_bati)', 2)} AS surface_moyenne FROM {_AFTER} GROUP BY 1, 2, 3""")
+sql("load_refused", """
+SELECT regle, violations, 0::BIGINT AS mois_publies FROM (
+  SELECT 'id_unique unique' AS regle, count(*) FILTER (month(date_mutation) = 3) AS violations FROM silver WHERE valeur_fonciere < 100000
+  UNION ALL SELECT 'commune not null', count(*) FILTER (month(date_mutation) = 1) FROM silver WHERE valeur_fonciere < 100000
+  UNION ALL SELECT 'type_local exists', count(DISTINCT type_local) FILTER (month(date_mutation) = 2) FROM silver WHERE valeur_fonciere < 100000
+) WHERE violations > 0""")
+_SILVER_COLUMNS = (
+    "date_mutation date, nature_mutation string, valeur_fonciere double, code_postal string, commune string, type_local string, "
+    "surface_reelle_bati double, nombre_pieces_principales int, fichier_source string, part_date date, id_unique string"
+)
+sql("silver_schema", f"""
+SELECT place, colonne, genre, (SELECT count(*) FROM silver) AS lignes
+FROM (VALUES {', '.join("({}::INTEGER, '{}', '{}')".format(i, *c.split()) for i, c in enumerate(_SILVER_COLUMNS.split(', '), 1))}) t(place, colonne, genre)""")
+sql("silver_empty_window", "SELECT count(*) AS lignes, count(DISTINCT id_unique) AS cles FROM silver WHERE year(date_mutation) = 1900")
+_LOADED = {
+    "nodes_nature": "SELECT DISTINCT nature FROM {g}", "nodes_type": "SELECT DISTINCT type FROM {g}", "nodes_commune": "SELECT DISTINCT commune FROM {g}",
+    "nodes_mutation": "SELECT id FROM {g}", "a_pour_type": "SELECT DISTINCT nature, type FROM {g}", "a_pour_lieu": "SELECT DISTINCT type, commune FROM {g}",
+    "a_enregistre": "SELECT commune, id FROM {g}",
+}
+_EARLY = "(SELECT * FROM g WHERE CAST(date AS DATE) < DATE '1997-01-01')"
+sql("graph_load_counters", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", a AS total, a AS charges, 0::BIGINT AS ignores, 1::INTEGER AS chargement FROM (SELECT count(*) AS a FROM ({body.format(g=_EARLY)}))"
+    f" UNION ALL SELECT '{name}', b, b - a, a, 2 FROM (SELECT count(*) AS a FROM ({body.format(g=_EARLY)})), (SELECT count(*) AS b FROM ({body.format(g='g')}))"
+    for name, body in _LOADED.items()))
+
 # --- features ---------------------------------------------------------------------------
 
 sql("temporal_features", f"""

@@ -15,16 +15,18 @@ from parcelion.functions.numeric import half_even
 from parcelion.operators import (
     boosting, clean, distribution, explore, features, foldstats, gold, gram, graph, kpis, models, neighbours,
 )
+from parcelion.operators import cube as cubes
 from parcelion.operators import segments as seg
 from parcelion.operators import silver as silver_ops
 from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
 from parcelion.plans import analysis
 from parcelion.plans.base import (
-    bronze, second_segment, silver, stored, stored_all_features, stored_features, stored_segments, stored_silver, window_silver,
+    YEAR_FROM, YEAR_TO, bronze, second_segment, silver, stored, stored_all_features, stored_features, stored_segments, stored_silver, window_silver,
 )
 from parcelion.schemas import SILVER
 from parcelion.session import fresh_path, stage_table
 from parcelion.sources import messages, raw, tables, testdata
+from parcelion.sources.published import MonthTable, Refused, key_rules
 from parcelion.streaming import ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +267,70 @@ def cube_par_commune_annee(spark, sf):
     return gold.cube_totals(stage_table(gold.sales_cube(silver(spark, sf)), "cube"), CUBE_YEAR)
 
 
+def _published(spark, sf) -> tuple[MonthTable, dict[int, str], dict[int, str]]:
+    """Silver published for 1996 to 1998, then loaded again for 1997 with June emptied, cheap sales of July gone and late sales of December
+    1998 moved in from 1997: the table and its months before and after."""
+    table = MonthTable(spark, fresh_path(spark, "published"), SILVER)
+    rows, rules = stored_silver(spark, sf), key_rules(["id_unique"], ["date_mutation", "commune"])
+    before = table.load(rows, 199601, 199812, rules)
+    month = F.month("date_mutation")
+    late = rows.where((month != 6) & ((month != 7) | (F.col(_PRICE) > 500_000)))
+    after = table.load(late, 199701, 199712, rules)
+    return table, before, after
+
+
+@query
+def silver_published(spark, sf):
+    """The published months after a load that empties one and thins out another."""
+    return _published(spark, sf)[0].read().select(*SILVER.fieldNames())
+
+
+@query
+def cube_incremental(spark, sf):
+    """The cube of the first load, brought up to date by the months that the second load changed."""
+    table, before, _ = _published(spark, sf)
+    old, new, _ = table.changed(before)
+    kept = [m for m in before if not 199701 <= m <= 199712]
+    stored_rows = old.unionByName(table.read(min(kept), 199612)).unionByName(table.read(199801, max(kept)))
+    cube = stage_table(cubes.cells(stored_rows), "cube")
+    return _rounded(cubes.figures(cubes.replaced(cube, old, new)), ["total_valeur_fonciere", "surface_moyenne"])
+
+
+@query
+def load_refused(spark, sf):
+    """What a load with planted faults breaks: double keys, missing communes, types that the dimension does not have."""
+    table = MonthTable(spark, fresh_path(spark, "refused"), SILVER)
+    rows = stored_silver(spark, sf)
+    cheap = F.col(_PRICE) < 100_000
+    faulty = rows.withColumns({
+        "commune": F.when(cheap & (F.month("date_mutation") == 1), None).otherwise(F.col("commune")),
+        "type_local": F.when(cheap & (F.month("date_mutation") == 2), F.concat(F.lit("?"), "type_local")).otherwise(F.col("type_local")),
+    }).unionByName(rows.where(cheap & (F.month("date_mutation") == 3)))
+    rules = key_rules(["id_unique"], ["date_mutation", "commune"], {"type_local": gold.types_locaux(rows)})
+    found = {}
+    try:
+        table.load(faulty, 100 * YEAR_FROM, 100 * YEAR_TO, rules)
+    except Refused as refused:
+        found = refused.violations
+    months = len(table.months())
+    return spark.createDataFrame([(rule, n, months) for rule, n in found.items()], "regle string, violations long, mois_publies long")
+
+
+@query
+def silver_schema(spark, sf):
+    """Rows and columns of the stored table: name, type and place."""
+    count, schema, _ = tables.overview(stored_silver(spark, sf))
+    rows = [(i, f.name, f.dataType.simpleString(), count) for i, f in enumerate(schema.fields, 1)]
+    return spark.createDataFrame(rows, "place int, colonne string, genre string, lignes long")
+
+
+@query
+def silver_empty_window(spark, sf):
+    """A window without rows gives silver without rows, which is told and not stored."""
+    rows = silver_ops.to_silver(bronze(spark, sf), 1900, 1901, date(2025, 1, 1))
+    return rows.agg(F.count(F.lit(1)).alias("lignes"), F.count_distinct("id_unique").alias("cles"))
+
+
 # --- key figures, profile, lookup -------------------------------------------------------
 
 
@@ -370,7 +436,7 @@ def graph_mutations(spark, sf):
 
 @query
 def graph_path_type(spark, sf):
-    return graph.first_paths(graph.paths(_graph(spark, sf), type_name="ECONOMY"))
+    return graph.ranked_paths(_graph(spark, sf), type_name="ECONOMY")
 
 
 @query
@@ -380,8 +446,7 @@ def graph_path_counts(spark, sf):
 
 @query
 def graph_path_nature_commune(spark, sf):
-    found = graph.paths(_graph(spark, sf), nature="1-URGENT", commune=COMMUNE, known_types_only=True)
-    return graph.first_paths(found)
+    return graph.ranked_paths(_graph(spark, sf), nature="1-URGENT", commune=COMMUNE, known_types_only=True)
 
 
 @query
@@ -407,6 +472,28 @@ def graph_reloaded(spark, sf):
     return graph.node_counts(graph.load_graph(spark, path))
 
 
+def _merged_twice(spark, sf) -> tuple[str, DataFrame]:
+    """A graph of the sales until 1996, then all sales merged into it: folder and counters of both loads."""
+    path = fresh_path(spark, "graph")
+    rows = stored_silver(spark, sf)
+    early = graph.merge_graph(spark, graph.build_graph(rows.where(F.year("date_mutation") <= 1996)), path)
+    late = graph.merge_graph(spark, graph.build_graph(rows), path)
+    return path, early.withColumn("chargement", F.lit(1)).unionByName(late.withColumn("chargement", F.lit(2)))
+
+
+@query
+def graph_merged(spark, sf):
+    """The graph after overlapping loads."""
+    path, _ = _merged_twice(spark, sf)
+    return graph.node_counts(graph.merged_graph(spark, path))
+
+
+@query
+def graph_load_counters(spark, sf):
+    """Nodes and edges of each load: all, added, known already."""
+    return _merged_twice(spark, sf)[1]
+
+
 @query
 def graph_wiped(spark, sf):
     """The stored graph after all nodes and edges were deleted."""
