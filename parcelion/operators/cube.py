@@ -26,7 +26,9 @@ def cells(rows: DataFrame, sign: int = 1) -> DataFrame:
 
 
 def _signed(counted: DataFrame, sign: int) -> DataFrame:
-    return counted.select(*CELL, *[(F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,12)") * sign).cast("decimal(38,12)").alias(c) for c in _SUMS])
+    # A product of decimals would lose digits.
+    whole = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,12)")
+    return counted.select(*CELL, *[(whole(c) if sign > 0 else -whole(c)).alias(c) for c in _SUMS])
 
 
 def merged(stored: DataFrame, *deltas: DataFrame) -> DataFrame:
