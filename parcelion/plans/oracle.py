@@ -326,6 +326,10 @@ for _name, _column, _end in [
 ]:
     sql(_name, f"SELECT {_column} AS valeur, count(*) AS effectif FROM silver GROUP BY 1 {_end}")
 sql("lookup_postal_code", f"SELECT * FROM silver WHERE code_postal = '{POSTAL_CODE}' ORDER BY id_unique LIMIT 100")
+sql("lookup_clustered", f"""
+SELECT * FROM silver WHERE code_postal = '{POSTAL_CODE}' AND date_mutation >= DATE '1997-01-01' AND date_mutation < DATE '1997-04-01'""")
+sql("lookup_indexed", "SELECT * FROM silver WHERE commune ILIKE '%ATION_1%-3%' ORDER BY id_unique LIMIT 100")
+sql("names_indexed", "SELECT DISTINCT commune, code_postal FROM silver WHERE commune ILIKE '%tion_2_-%'")
 sql("lookup_commune", "SELECT * FROM silver WHERE commune ILIKE '%ation_1%' ORDER BY id_unique LIMIT 100")
 
 # --- graph ------------------------------------------------------------------------------

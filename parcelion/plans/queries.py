@@ -26,6 +26,7 @@ from parcelion.plans.base import (
 from parcelion.schemas import SILVER
 from parcelion.session import fresh_path, stage_table
 from parcelion.sources import messages, raw, tables, testdata
+from parcelion.sources.clustered import ClusteredSilver
 from parcelion.sources.published import MonthTable, Refused, key_rules
 from parcelion.streaming import ingest, live
 
@@ -407,6 +408,35 @@ def lookup_commune(spark, sf):
     return kpis.lookup(silver(spark, sf), postal_code="", commune="ation_1")
 
 
+def _clustered(spark, sf) -> ClusteredSilver:
+    """Silver clustered by month and postal code, built once per application and folder."""
+
+    def build():
+        path = fresh_path(spark, "clustered")
+        ClusteredSilver(spark, path).build(stored_silver(spark, sf), files=32)
+        return spark.createDataFrame([(path,)], "path string")
+
+    return ClusteredSilver(spark, stored(spark, sf, "clustered", build).first().path)
+
+
+@query
+def lookup_clustered(spark, sf):
+    """One postal code in a quarter, from the files whose spans hold both."""
+    return _clustered(spark, sf).read([POSTAL_CODE], "1997-01-01", "1997-04-01")
+
+
+@query
+def lookup_indexed(spark, sf):
+    """Rows of communes that contain a text, by way of the name index."""
+    return _clustered(spark, sf).lookup(commune="ATION_1%-3")
+
+
+@query
+def names_indexed(spark, sf):
+    """Names and postal codes that contain a text with a wildcard."""
+    return _clustered(spark, sf).names("tion_2_-")
+
+
 # --- graph ------------------------------------------------------------------------------
 
 
