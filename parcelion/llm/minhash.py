@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from parcelion.session import fresh_path, released_after, stage_table
 
 from .components import connected_components
-from .jaccard import node_of, shingle_sets
+from .shingles import node_of, rare_keys, shingle_sets
 from .words import NOT_SPACE, Words, batches, mix
 
 SHINGLE, PERCENT = 2, 80
@@ -150,31 +150,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return pairs.select("a", "b", "text_a", "text").mapInArrow(run, "a long, b long")
 
 
-def _rare_keys(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(key, node, n, label, short): of each node (node, label, n) the shingles that it cannot all lack in common with a partner, rarest first, as far
-    as they occur under several labels. Two sets that are alike share one of the rarest ``n - least common + 1`` shingles of the
-    larger and of the rarest ones of the smaller, marked short, where the least common number is higher."""
-
-    def run(stream):
-        for batch in batches(stream):
-            sets = shingle_sets(Words(batch.column(3), NOT_SPACE), size)
-            counts = [len(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(sets).view(np.int64)), *(pa.array(np.repeat(np.asarray(batch.column(i)), counts)) for i in range(3)),
-            ], names=["key", "node", "n", "label"])
-
-    rows = members.join(texts, "node").select("node", "n", "label", "text").mapInArrow(run, "key long, node long, n long, label long")
-    found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
-    rows = rows.join(found.filter("low < high").select("key", "often"), "key")
-    # Shingles of one label only come first in the order of rarity, and meet nobody.
-    own = Window.partitionBy("node")
-    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "key"))
-    n = F.col("n")
-    most, least = n - F.ceil(n * percent / 100) + 1, n - F.ceil(2 * n * percent / (100 + percent)) + 1
-    rows = rows.withColumn("place", place).filter(F.col("place") <= most)
-    return rows.select("key", "node", "n", "label", (F.col("place") <= least).alias("short"))
-
-
 def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """The component (node, label) of every node that has a link."""
     with released_after(docs.sparkSession):
@@ -209,7 +184,7 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             left = _mixed_keys(stage_table(left, "left"))
             if hubs_taken == 1 and not left.isEmpty():
                 nodes = stage_table(left.groupBy("node", "label", "n", "central").agg(F.count(F.lit(1)).alias("keys")), "nodes")
-                rare = _rare_keys(nodes.select("node", "label", "n"), _texts(docs, reps, nodes.select("node"), size), size, percent)
+                rare = rare_keys(nodes.select("node", "label", "n"), _texts(docs, reps, nodes.select("node"), size), size, percent)
                 left = _mixed_keys(stage_table(rare.join(nodes.select("node", "central"), "node"), "rare"))
             if left.isEmpty():
                 return _stored(labels, "labels")
