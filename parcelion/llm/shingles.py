@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelion.session import stage_table
+
 from .words import NOT_SPACE, Words, batches, mix, ngram_hashes
 
 _U = np.uint64
@@ -54,3 +56,45 @@ def rare_keys(members: DataFrame, texts: DataFrame, size: int, percent: int) ->
     most, least = n - F.ceil(n * percent / 100) + 1, n - F.ceil(2 * n * percent / (100 + percent)) + 1
     rows = rows.withColumn("place", place).filter(F.col("place") <= most)
     return rows.select("key", "node", "n", "label", (F.col("place") <= least).alias("short"))
+
+
+def counted_keys(texts: DataFrame, size: int, percent: int, cells: int = 1 << 20) -> DataFrame:
+    """(key, node, short): as :func:`rare_keys`, with rarity told by a table of ``cells`` counters instead of a count per shingle, so that only the keys
+    are shuffled and not all shingles. Any order that all sets share is right; a shingle that is found much oftener than the others
+    in its counter comes late in this one. Keys that one node alone has are left out."""
+
+    def count(stream):
+        counters = np.zeros(cells, np.int64)
+        for batch in batches(stream):
+            found = shingle_sets(Words(batch.column(1), NOT_SPACE), size)
+            counters += np.bincount((np.concatenate(found) & _U(cells - 1)).astype(np.int64), minlength=cells)
+        used = np.flatnonzero(counters)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counters[used])], names=["cell", "n"])
+
+    texts = texts.select("node", "text")
+    table = texts.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counters = np.zeros(cells, np.int64)
+    counters[table["cell"].to_numpy()] = table["n"].to_numpy()
+    middle = np.median(counters)
+    spread = max(2 * 1.4826 * np.median(np.abs(counters - middle)), 2.0)
+    levels = np.ceil(8 * np.log2(np.maximum((counters - middle) / spread, 1))).astype(np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
+
+    def keys(stream):
+        for batch in batches(stream):
+            found, nodes, short = [], [], []
+            for node, shingles in zip(batch.column(0).to_pylist(), shingle_sets(Words(batch.column(1), NOT_SPACE), size)):
+                n = len(shingles)
+                most, least = n - -(-n * percent // 100) + 1, n - -(-2 * n * percent // (100 + percent)) + 1
+                level = shared.value[(shingles & _U(cells - 1)).astype(np.int64)].astype(_U)
+                own = shingles[np.argsort((level << _U(56)) | (shingles >> _U(8)), kind="stable")[:most]]
+                found.append(own)
+                nodes.append(np.full(len(own), node, np.int64))
+                short.append(np.arange(len(own)) < least)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(short))], names=["key", "node", "short"]
+            )
+
+    rows = stage_table(texts.mapInArrow(keys, "key long, node long, short boolean"), "keys")
+    several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
+    return rows.join(several, "key", "left_semi")

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 
 from parcelion.llm import minhash as M
-from parcelion.llm.shingles import rare_keys
+from parcelion.llm.shingles import counted_keys, rare_keys
 from parcelion.llm.words import mix
 
 from .plain import prose, tokens
@@ -83,13 +84,15 @@ def test_many_rows_of_two_texts_are_one_pair(spark, monkeypatch):
     assert asked == [(1, 2)]
 
 
-def test_rare_keys_meet_in_every_alike_pair(spark):
+@pytest.mark.parametrize("cells", [None, 4, 1 << 20])
+def test_keys_meet_in_every_alike_pair(spark, cells):
     rng = random.Random(11)
     base = prose("base", 60)
     texts = {i: _edited(rng, base, rng.choice([0, 0.02, 0.05, 0.1, 0.3])) for i in range(40)} | {99: "k l m n o p q r s t u"}
     sets = {i: _sets(t) for i, t in texts.items()}
     members = spark.createDataFrame([(i, i, len(s)) for i, s in sets.items()], "node long, label long, n long")
-    rows = rare_keys(members, spark.createDataFrame(list(texts.items()), "node long, text string"), 2, 80).collect()
+    frame = spark.createDataFrame(list(texts.items()), "node long, text string")
+    rows = (rare_keys(members, frame, 2, 80) if cells is None else counted_keys(frame, 2, 80, cells)).collect()
     keys = {i: {(r.key, r.short) for r in rows if r.node == i} for i in texts}
     assert not keys[99]
     for x in texts:
