@@ -3,8 +3,8 @@
 Every batch of training documents is a shard. The words of a shard that can take part in a
 match (runs of benchmark words as long as the shortest window) get a suffix array, sorted by
 prefix doubling to the depth of the longest benchmark item. Each benchmark window is looked up by
-binary search; its range in the array gives all locations of the window, and matches that
-start there are extended word by word to their full length.
+binary search; its range in the array gives all locations of the window. The longest match at a location is that with
+a neighbour of its text among the benchmark's places of the same window, which are kept in the order of their suffixes.
 
 The benchmark is the stated query set: it is sent to the tasks in blocks of at most
 ``block_bytes`` of text (measured first), and a larger benchmark makes further passes over the documents.
@@ -37,6 +37,7 @@ REPORT = T.StructType([
     T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
     T.StructField("items", T.ArrayType(T.StringType())),
     T.StructField("longest", T.LongType()),
+    T.StructField("longest_start", T.LongType()),
 ])
 
 
@@ -46,12 +47,14 @@ class Benchmark:
     def __init__(self, items: list[tuple[str, str | None]], window: int):
         words = Words(pa.array([text for _, text in items], pa.large_string()), ALPHANUMERIC)
         self.vocabulary, first, numbers = np.unique(words.hashes, return_index=True, return_inverse=True)
-        self.text = np.append(numbers.astype(np.int32), np.int32(-2))
+        # Word numbers, with a -2 after each item.
+        ends_at = np.asarray(words.bounds[1:], dtype=np.int64)
+        self.text = np.insert(numbers.reshape(-1).astype(np.int32), ends_at, np.int32(-2))
         self.word_at, self.word_size = words.starts[first], (words.ends - words.starts)[first]
         self.bytes = words.data
         starts, lengths, rows, ends = [], [], [], []
         for row in range(len(items)):
-            begin, end = int(words.bounds[row]), int(words.bounds[row + 1])
+            begin, end = int(words.bounds[row]) + row, int(words.bounds[row + 1]) + row
             if begin == end:
                 continue
             size = min(window, end - begin)
@@ -64,14 +67,19 @@ class Benchmark:
         starts, lengths, rows, ends = join(starts), join(lengths), join(rows), join(ends)
         self.shortest = int(lengths.min()) if len(lengths) else 0
         self.deepest = int((ends - starts).max()) if len(starts) else 0
-        # Windows as rows of word numbers, padded with -3, and the first place of each different one.
+        # Windows as rows of word numbers, padded with -3; the places of each different one by their suffixes.
         table = np.full((len(starts), window), -3, np.int32)
         for column in range(window):
             some = lengths > column
             table[some, column] = self.text[starts[some] + column]
         self.windows, first, of = np.unique(table, axis=0, return_index=True, return_inverse=True)
-        self.lengths, self.starts, self.ends = lengths[first], starts[first], ends[first]
-        pairs = np.unique(np.stack([of.reshape(-1), rows], axis=1), axis=0) if len(rows) else np.zeros((0, 2), np.int64)
+        self.lengths, of = lengths[first], of.reshape(-1)
+        rank = np.zeros(len(self.text), np.int64)
+        if len(starts) > len(first):
+            rank[suffix_array(self.text, self.deepest + 1)] = np.arange(len(self.text))
+        order = np.lexsort((rank[starts], of))
+        self.places, self.place_bounds = starts[order], np.searchsorted(of[order], np.arange(len(first) + 1))
+        pairs = np.unique(np.stack([of, rows], axis=1), axis=0) if len(rows) else np.zeros((0, 2), np.int64)
         self.window_rows = pairs[:, 1]
         self.window_bounds = np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1))
         self.names = [name for name, _ in items]
@@ -149,9 +157,30 @@ def _verified(words: Words, numbers: np.ndarray, some: np.ndarray, bench: Benchm
     numbers[at[unlike > 0]] = -1
 
 
+def _longest(text: np.ndarray, place: np.ndarray, length: np.ndarray, bench: Benchmark, window: np.ndarray) -> np.ndarray:
+    """The most words that agree from each place of a window on, with any place of that window in the benchmark.
+
+    A binary search among the places meets both neighbours of the text, one of which agrees longest."""
+    padded, full = np.append(text, np.int32(-1)), length.copy()
+    low, high = bench.place_bounds[window], bench.place_bounds[window + 1]
+    while (some := np.flatnonzero(low < high)).size:
+        middle = (low[some] + high[some]) // 2
+        ours, theirs, same = place[some], bench.places[middle], length[some]
+        alive = np.arange(len(some))
+        while alive.size:
+            ahead = np.minimum(ours[alive] + same[alive], len(text))
+            alive = alive[padded[ahead] == bench.text[theirs[alive] + same[alive]]]
+            same[alive] += 1
+        full[some] = np.maximum(full[some], same)
+        right = bench.text[theirs + same] < padded[np.minimum(ours + same, len(text))]
+        low[some] = np.where(right, middle + 1, low[some])
+        high[some] = np.where(right, high[some], middle)
+    return full
+
+
 def match(words: Words, bench: Benchmark) -> list[dict]:
     """The report of each row of a batch."""
-    reports = [{"n_words": int(n), "spans": [], "items": [], "longest": 0} for n in np.diff(words.bounds)]
+    reports = [{"n_words": int(n), "spans": [], "items": [], "longest": 0, "longest_start": None} for n in np.diff(words.bounds)]
     if not len(bench.windows) or not len(words.hashes):
         return reports
     place = np.minimum(np.searchsorted(bench.vocabulary, words.hashes), len(bench.vocabulary) - 1)
@@ -183,28 +212,20 @@ def match(words: Words, bench: Benchmark) -> list[dict]:
     np.add.at(steps, begin, 1)
     np.add.at(steps, begin + length, -1)
     covered = np.concatenate([[False], np.cumsum(steps[:-1]) > 0, [False]])
-    # Full length of the matches.
-    full, alive = length.copy(), np.arange(len(window))
-    padded = np.append(text, np.int32(-1))
-    while alive.size:
-        reach = bench.starts[window[alive]] + full[alive]
-        ahead = np.minimum(place[alive] + full[alive], len(text))
-        more = (reach < bench.ends[window[alive]]) & (padded[ahead] == bench.text[reach])
-        alive = alive[more]
-        full[alive] += 1
+    full = _longest(text, place, length, bench, window)
     hit_row = np.searchsorted(words.bounds, begin, "right") - 1
-    longest = np.zeros(len(reports), np.int64)
-    np.maximum.at(longest, hit_row, full)
+    order = np.lexsort((begin, -full, hit_row))
+    best = order[np.concatenate([[True], np.diff(hit_row[order]) > 0])]
     for row_window in np.unique(np.stack([hit_row, window], axis=1), axis=0):
         rows = bench.window_rows[bench.window_bounds[row_window[1]] : bench.window_bounds[row_window[1] + 1]]
         reports[row_window[0]]["items"].extend(rows.tolist())
-    for index in np.unique(hit_row):
+    for index, top in zip(hit_row[best], best):
         a, b = words.bounds[index], words.bounds[index + 1]
         edge = np.diff(np.concatenate([[0], covered[a + 1 : b + 1].astype(np.int8), [0]]))
         report = reports[index]
         report["spans"] = [{"start": int(s), "end": int(e)} for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
         report["items"] = sorted({bench.names[i] for i in report["items"]})
-        report["longest"] = int(longest[index])
+        report["longest"], report["longest_start"] = int(full[top]), int(begin[top] - a)
     return reports
 
 
@@ -218,9 +239,10 @@ def _merged(old: dict | None, new: dict) -> dict:
             spans[-1] = {"start": spans[-1]["start"], "end": max(spans[-1]["end"], span["end"])}
         else:
             spans.append(span)
+    best = max(old, new, key=lambda r: (r["longest"], -(r["longest_start"] or 0)))
     return {
         "n_words": new["n_words"], "spans": spans, "items": sorted({*old["items"], *new["items"]}),
-        "longest": max(old["longest"], new["longest"]),
+        "longest": best["longest"], "longest_start": best["longest_start"],
     }
 
 
@@ -246,7 +268,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, str | None]], text_col: str, r
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string())), ("longest", pa.int64())])
+_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string())), ("longest", pa.int64()), ("longest_start", pa.int64())])
 
 
 def find_matches(
@@ -260,7 +282,7 @@ def find_matches(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct column ``report`` as its last: n_words, spans of hit words, ids of the items with
-    occurring windows, and the longest verbatim match in words (from the first place of each window)."""
+    occurring windows, and length and first word of the longest verbatim match of a window or more (the first of several)."""
     report = free_name(docs.columns, report)
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     items = benchmark.select(

@@ -37,7 +37,32 @@ def test_longest_match_and_places():
     text = "before " + " ".join(f"W{i}" for i in range(4, 25)) + " after"
     bench = D.Benchmark([("7", item)], 10)
     report = D.match(Words(pa.array(["", text]), ALPHANUMERIC), bench)[1]
-    assert report == {"n_words": 23, "spans": [{"start": 1, "end": 22}], "items": ["7"], "longest": 21}
+    assert report == {"n_words": 23, "spans": [{"start": 1, "end": 22}], "items": ["7"], "longest": 21, "longest_start": 1}
+
+
+def test_longest_match_of_a_window_with_several_places():
+    shared, ours = " ".join(f"w{i}" for i in range(12)), " ".join(f"y{i}" for i in range(30))
+    bench = D.Benchmark([("1", f"{shared} x0 x1 x2"), ("2", f"{shared} {ours}"), ("3", shared)], 10)
+    report = D.match(Words(pa.array([f"a b {shared} {ours} c"]), ALPHANUMERIC), bench)[0]
+    assert (report["longest"], report["longest_start"], report["items"]) == (42, 2, ["1", "2", "3"])
+
+
+@given(TEXTS, TEXTS, st.integers(1, 4))
+@settings(deadline=None, max_examples=150)
+def test_longest_matches_equal_a_plain_search(docs, items, window):
+    bench = D.Benchmark([(str(i), t) for i, t in enumerate(items)], window)
+    split = lambda text: hits(text, {}, window)[0]
+    for text, report in zip(docs, D.match(Words(pa.array(docs), ALPHANUMERIC), bench)):
+        words, best = split(text), (0, None)
+        for item in map(split, items):
+            for i in range(len(words)):
+                for j in range(len(item)):
+                    size = 0
+                    while i + size < len(words) and j + size < len(item) and words[i + size] == item[j + size]:
+                        size += 1
+                    if (size >= window or size == len(item) > 0) and (size > best[0] or (size == best[0] and i < best[1])):
+                        best = size, i
+        assert (report["longest"], report["longest_start"]) == best
 
 
 def test_hash_twins_are_told_apart(monkeypatch):
