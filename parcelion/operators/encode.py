@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelion.operators.features import column_quantiles
+from parcelion.operators.distribution import spread, summarize
+from parcelion.operators.features import column_quantiles, combine
 from parcelion.operators.gold import dense_codes
 from parcelion.session import stage_table
 
@@ -92,6 +94,15 @@ class CategoricalEncoder:
         return encoded
 
 
+def encoded_by(
+    df: DataFrame, key: str, groups: Sequence, columns: list[str] | None = None, one_hot: int = ONE_HOT_LEVELS
+) -> DataFrame:
+    """Each of the few ``groups`` of ``key`` encoded on its own, put together over all columns: a flag that a group does
+    not have is 0 in its rows. ``df`` is read once a group and once more for its levels: pass a stored table."""
+    parts = [df.where(F.col(key) == group) for group in groups]
+    return combine([CategoricalEncoder.fit(p, columns, one_hot).transform(p) for p in parts], common_only=False)
+
+
 @dataclass(frozen=True)
 class Scaler:
     """(x - centre) / width per column."""
@@ -127,3 +138,20 @@ def standard_scaler(train: DataFrame, columns: list[str]) -> Scaler:
     return Scaler(
         {c: row[f"m_{c}"] for c in columns}, {c: row[f"s_{c}"] or 1.0 for c in columns}
     )
+
+
+def scaled_by(df: DataFrame, train: DataFrame, key: str, columns: Sequence[str], robust: bool = True) -> DataFrame:
+    """``df`` with its columns scaled by the figures of the training rows of the row's own ``key``, all groups in one pass:
+    median and interquartile range, or mean and population deviation; a width of 0 counts as 1. A group
+    without training rows gets NULL."""
+    figures = summarize(train, [key], columns, (0.25, 0.5, 0.75) if robust else ())
+    centre, width = (F.col("p50"), F.col("p75") - F.col("p25")) if robust else (F.col("mean"), F.col("std_pop"))
+    wanted = {}
+    for i, column in enumerate(columns):
+        wanted[f"_centre_{i}"], wanted[f"_width_{i}"] = (column, centre), (column, width)
+    joined = df.join(stage_table(spread(figures, [key], wanted), "scales"), key, "left")
+    scaled = {
+        c: (F.col(f"`{c}`") - F.col(f"_centre_{i}")) / F.when(F.col(f"_width_{i}") == 0, 1.0).otherwise(F.col(f"_width_{i}"))
+        for i, c in enumerate(columns)
+    }
+    return joined.withColumns(scaled).drop(*wanted)

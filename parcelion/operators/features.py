@@ -107,14 +107,15 @@ def full_stats(df: DataFrame, keys: Sequence[str] = ()) -> DepartmentStats:
     return DepartmentStats(stage_table(spread(figures, by, wanted), "dept"), tuple(by))
 
 
-def training_stats(train: DataFrame) -> DepartmentStats:
-    """Department figures of the training rows only, unrounded."""
-    figures = summarize(train, ["departement"], [_PRICE, _SURFACE])
+def training_stats(train: DataFrame, keys: Sequence[str] = ()) -> DepartmentStats:
+    """Department figures of the training rows only, unrounded; per department within ``keys``."""
+    by = [*keys, "departement"]
+    figures = summarize(train, by, [_PRICE, _SURFACE])
     return DepartmentStats(
         stage_table(
             spread(
                 figures,
-                ["departement"],
+                by,
                 {
                     "dept_mean_price": (_PRICE, F.col("mean")),
                     "dept_median_price": (_PRICE, F.col("p50")),
@@ -124,7 +125,8 @@ def training_stats(train: DataFrame) -> DepartmentStats:
                 },
             ),
             "dept-train",
-        )
+        ),
+        tuple(by),
     )
 
 

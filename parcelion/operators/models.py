@@ -289,14 +289,14 @@ class SafeLots:
     stats: DepartmentStats
 
 
-def safe_lots(df: DataFrame, parity: bool = False) -> SafeLots:
-    """Lots whose department figures are learnt on the training rows only.
+def safe_lots(df: DataFrame, parity: bool = False, keys: Sequence[str] = ()) -> SafeLots:
+    """Lots whose department figures are learnt on the training rows only, within ``keys``.
 
     ``parity`` adds the price over the department mean, which knows the row's own price.
     Pass a stored frame with ``lot`` (see :func:`with_lot`).
     """
     parts = lots(without_department_figures(df))
-    stats = training_stats(parts[0])
+    stats = training_stats(parts[0], keys)
     joined = [stats.apply(p) for p in parts]
     if parity:
         joined = [

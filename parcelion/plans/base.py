@@ -66,10 +66,11 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "features", lambda: with_lot(engineered(second_segment(spark, sf_dir))))
 
 
-def stored_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leak-free engineered features of all three segments, with the lot and the fold of each row."""
+def stored_engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engineered features of all three segments, with the lot and the fold of each row."""
+    return stored(spark, sf_dir, "engineered", lambda: with_fold(with_lot(engineered_by(stored_segments(spark, sf_dir)))))
 
-    def build():
-        return with_fold(with_lot(leak_free(engineered_by(stored_segments(spark, sf_dir)))))
 
-    return stored(spark, sf_dir, "all-features", build)
+def stored_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leak-free ones of :func:`stored_engineered`."""
+    return leak_free(stored_engineered(spark, sf_dir))

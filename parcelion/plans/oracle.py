@@ -196,10 +196,6 @@ d_train AS (
          count(*) AS dept_count_trans, avg(surface_reelle_bati) AS dept_mean_surface
   FROM roomy WHERE lot = 'train' GROUP BY departement
 ),
-scored AS (
-  SELECT r.*, d.dept_mean_price AS prediction FROM roomy r JOIN d_train d ON r.departement = d.departement
-  WHERE lot <> 'train'
-),
 predicted AS (
   SELECT r.*, d.dept_mean_price * (1 + mois / 100.0::DOUBLE) AS valeur_fonciere_predite
   FROM roomy r JOIN d_train d ON r.departement = d.departement
@@ -484,7 +480,7 @@ _DIGEST = "sha256(id_unique || chr(58) || '42')"
 sql("ols_surface_price", _FIT.format(source="tidy"))
 sql("ols_on_sample", _FIT.format(source=f"""
 (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY {_DIGEST}, id_unique) AS place FROM tidy)
- WHERE place <= 1000)"""))
+ WHERE place <= 30000)"""))
 sql("sample_rows", f"""
 SELECT id_unique, commune, valeur_fonciere FROM silver ORDER BY {_DIGEST}, id_unique LIMIT 10000""")
 # The skewness function of the other engine is bias-corrected; this is the population one.
@@ -534,41 +530,71 @@ sql("graph_load_counters", "\nUNION ALL ".join(
 
 # --- features ---------------------------------------------------------------------------
 
-sql("temporal_features", f"""
-SELECT id_unique, CAST(year(d) AS INTEGER) AS annee, CAST(month(d) AS INTEGER) AS mois,
+# All three segments, each with its own first day and department figures.
+SEGMENTED = f""",
+first_day AS (SELECT segment, min(date_mutation) AS d0 FROM geo GROUP BY 1),
+roomy_by AS (
+  SELECT g.*, CAST(year(date_mutation) AS INTEGER) AS annee, CAST(month(date_mutation) AS INTEGER) AS mois,
+    CAST(date_diff('day', d0, date_mutation) AS INTEGER) AS jours_depuis_debut, valeur_fonciere / surface_reelle_bati AS prix_m2,
+    CASE WHEN surface_reelle_bati <= 50 THEN 'Très petit' WHEN surface_reelle_bati <= 100 THEN 'Petit'
+         WHEN surface_reelle_bati <= 150 THEN 'Moyen' WHEN surface_reelle_bati <= 200 THEN 'Grand' ELSE 'Très grand' END AS categorie_surface,
+    surface_reelle_bati / nombre_pieces_principales AS surface_par_piece, {lot('id_unique')} AS lot,
+    CAST(({hex_number(_DIGEST, 9)}) * 5 // 65536 AS INTEGER) AS pli
+  FROM geo g JOIN first_day f ON g.segment = f.segment WHERE surface_reelle_bati > 0 AND nombre_pieces_principales > 0
+),
+full_by AS (
+  SELECT segment, departement, {even('avg(valeur_fonciere)', 2)} AS dept_valeur_fonciere_mean,
+    {even('quantile_cont(valeur_fonciere, 0.5)', 2)} AS dept_valeur_fonciere_median,
+    {even('stddev_samp(valeur_fonciere)', 2)} AS dept_valeur_fonciere_std, count(*) AS dept_valeur_fonciere_count,
+    {even('avg(surface_reelle_bati)', 2)} AS dept_surface_reelle_bati_mean,
+    {even('quantile_cont(surface_reelle_bati, 0.5)', 2)} AS dept_surface_reelle_bati_median
+  FROM roomy_by GROUP BY 1, 2
+),
+frame_by AS (
+  SELECT r.*, d.* EXCLUDE (segment, departement), type_local || '_' || categorie_surface AS type_local_x_surface_cat
+  FROM roomy_by r JOIN full_by d ON r.segment = d.segment AND r.departement = d.departement
+),
+scored_by AS (
+  SELECT r.*, d.prediction FROM roomy_by r JOIN (
+    SELECT segment, departement, avg(valeur_fonciere) AS prediction FROM roomy_by WHERE lot = 'train' GROUP BY 1, 2
+  ) d ON r.segment = d.segment AND r.departement = d.departement WHERE lot <> 'train'
+)
+"""
+sql("temporal_features", f"""{SEGMENTED}
+SELECT segment, id_unique, CAST(year(d) AS INTEGER) AS annee, CAST(month(d) AS INTEGER) AS mois,
   CAST(quarter(d) AS INTEGER) AS trimestre, CAST(isodow(d) - 1 AS INTEGER) AS jour_semaine,
   CAST(dayofyear(d) AS INTEGER) AS jour_annee,
   {even('sin(2 * pi() * month(d) / 12)', 6)} AS mois_sin, {even('cos(2 * pi() * month(d) / 12)', 6)} AS mois_cos,
   {even('sin(2 * pi() * (isodow(d) - 1) / 7)', 6)} AS jour_semaine_sin,
   {even('cos(2 * pi() * (isodow(d) - 1) / 7)', 6)} AS jour_semaine_cos,
-  CAST(date_diff('day', (SELECT min(date_mutation) FROM two), d) AS INTEGER) AS jours_depuis_debut
-FROM (SELECT id_unique, date_mutation AS d FROM two)""")
-sql("surface_features", f"""
-SELECT id_unique, prix_m2, categorie_surface, {even('ln(1 + surface_reelle_bati)', 6)} AS log_surface,
-       surface_reelle_bati * surface_reelle_bati AS surface_squared, surface_par_piece FROM roomy""")
-sql("geographic_features", f"""
-SELECT id_unique, code_postal, departement, dept_valeur_fonciere_mean, dept_valeur_fonciere_median,
+  CAST(date_diff('day', d0, d) AS INTEGER) AS jours_depuis_debut
+FROM (SELECT g.segment, id_unique, date_mutation AS d, d0 FROM geo g JOIN first_day f ON g.segment = f.segment)""")
+sql("surface_features", f"""{SEGMENTED}
+SELECT segment, id_unique, prix_m2, categorie_surface, {even('ln(1 + surface_reelle_bati)', 6)} AS log_surface,
+       surface_reelle_bati * surface_reelle_bati AS surface_squared, surface_par_piece FROM roomy_by""")
+sql("geographic_features", f"""{SEGMENTED}
+SELECT segment, id_unique, code_postal, departement, dept_valeur_fonciere_mean, dept_valeur_fonciere_median,
        dept_valeur_fonciere_std, dept_surface_reelle_bati_mean, dept_surface_reelle_bati_median,
        dept_valeur_fonciere_count, dept_valeur_fonciere_count AS dept_densite_transactions,
-       {even('valeur_fonciere / dept_valeur_fonciere_mean', 6)} AS ratio_prix_dept FROM frame""")
-sql("interaction_features", f"""
-SELECT id_unique, annee * surface_reelle_bati AS annee_x_surface,
+       {even('valeur_fonciere / dept_valeur_fonciere_mean', 6)} AS ratio_prix_dept FROM frame_by""")
+sql("interaction_features", f"""{SEGMENTED}
+SELECT segment, id_unique, annee * surface_reelle_bati AS annee_x_surface,
        {even('dept_valeur_fonciere_mean * surface_reelle_bati', 2)} AS dept_prix_x_surface, type_local_x_surface_cat
-FROM frame""")
+FROM frame_by""")
 _NATURES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-sql("feature_frame", f"""
-SELECT lot, count(*) AS lignes, CAST(sum(code) AS BIGINT) AS departement_encoded, 0::BIGINT AS nature_mutation_nan,
-  {', '.join(f"count(*) FILTER (nature_mutation = '{n}') AS nature_mutation_{n.replace('-', '_').replace(' ', '_')}" for n in _NATURES)}
-FROM frame JOIN (SELECT departement, row_number() OVER (ORDER BY departement) - 1 AS code
-                 FROM (SELECT DISTINCT departement FROM frame)) USING (departement) GROUP BY 1""")
-sql("one_hot", f"""
-SELECT id_unique, {', '.join(f"CAST(categorie_surface = '{v}' AS INTEGER) AS {n}" for v, n in [
+sql("feature_frame", f"""{SEGMENTED}
+SELECT segment, id_unique, lot, pli, mois, jours_depuis_debut, surface_par_piece, prix_m2, dept_valeur_fonciere_mean,
+  CAST(dense_rank() OVER (PARTITION BY segment ORDER BY departement) - 1 AS INTEGER) AS departement_encoded, 0::INTEGER AS nature_mutation_nan,
+  {', '.join(f"CAST(nature_mutation = '{n}' AS INTEGER) AS nature_mutation_{n.replace('-', '_').replace(' ', '_')}" for n in _NATURES)}
+FROM frame_by""")
+sql("one_hot", f"""{SEGMENTED}
+SELECT segment, id_unique, {', '.join(f"CAST(categorie_surface = '{v}' AS INTEGER) AS {n}" for v, n in [
     ('Très petit', 'tres_petit'), ('Petit', 'petit'), ('Moyen', 'moyen'), ('Grand', 'grand'),
-    ('Très grand', 'tres_grand')])}, 0::INTEGER AS manquant FROM frame""")
-sql("label_codes", """
-SELECT id_unique,
-  CAST(dense_rank() OVER (ORDER BY type_local_x_surface_cat) - 1 AS INTEGER) AS type_local_x_surface_cat_encoded,
-  CAST(dense_rank() OVER (ORDER BY departement) - 1 AS INTEGER) AS departement_encoded FROM frame""")
+    ('Très grand', 'tres_grand')])}, 0::INTEGER AS manquant FROM frame_by""")
+sql("label_codes", f"""{SEGMENTED}
+SELECT segment, id_unique,
+  CAST(dense_rank() OVER (PARTITION BY segment ORDER BY type_local_x_surface_cat) - 1 AS INTEGER) AS type_local_x_surface_cat_encoded,
+  CAST(dense_rank() OVER (PARTITION BY segment ORDER BY departement) - 1 AS INTEGER) AS departement_encoded FROM frame_by""")
 sql("train_dept_stats", f"""
 SELECT departement, dept_count_trans, {', '.join(f"{even(c, 2)} AS {c}" for c in [
     'dept_mean_price', 'dept_median_price', 'dept_std_price', 'dept_mean_surface'])} FROM d_train""")
@@ -632,10 +658,14 @@ def _scaled(columns: list[str], centre: str, width: str) -> str:
     return f"SELECT id_unique, {outer} FROM frame JOIN (SELECT {inner} FROM frame WHERE lot = 'train') ON true"
 
 
-sql("robust_scaled", _scaled(
-    ["surface_reelle_bati", "jours_depuis_debut", "surface_par_piece"],
-    "quantile_cont(CAST({v} AS DOUBLE), 0.5)",
-    "(quantile_cont(CAST({v} AS DOUBLE), 0.75) - quantile_cont(CAST({v} AS DOUBLE), 0.25))"))
+_ROBUST = ["surface_reelle_bati", "jours_depuis_debut", "surface_par_piece"]
+sql("robust_scaled", f"""{SEGMENTED}
+SELECT f.segment, id_unique, {', '.join(
+    f"{even(f'({c} - c_{c}) / (CASE WHEN w_{c} = 0 THEN 1 ELSE w_{c} END)', 6)} AS {c}" for c in _ROBUST)}
+FROM frame_by f JOIN (SELECT segment, {', '.join(
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS c_{c}, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.75) - quantile_cont(CAST({c} AS DOUBLE), 0.25) AS w_{c}" for c in _ROBUST)}
+  FROM frame_by WHERE lot = 'train' GROUP BY 1) q ON f.segment = q.segment""")
 sql("standard_scaled", _scaled(
     ["surface_reelle_bati", "jours_depuis_debut"], "avg({v})", "stddev_pop({v})"))
 
@@ -665,20 +695,21 @@ GROUP BY 1""")
 
 _XY = "valeur_fonciere, surface_reelle_bati"
 sql("linear_surface", f"""
-SELECT count(*) AS lignes, {even(f'regr_slope({_XY})', 2)} AS pente, {even(f'regr_intercept({_XY})', 1)} AS ordonnee FROM two""")
+SELECT segment, count(*) AS lignes, {even(f'regr_slope({_XY})', 2)} AS pente, {even(f'regr_intercept({_XY})', 1)} AS ordonnee
+FROM tidy GROUP BY 1""")
 sql("ridge_surface", f"""
-SELECT n AS lignes, {even('b', 2)} AS pente, {even('my - b * mx', 1)} AS ordonnee
-FROM (SELECT count(*) AS n, regr_sxy({_XY}) / (regr_sxx({_XY}) + 1000) AS b, avg(valeur_fonciere) AS my,
-             avg(surface_reelle_bati) AS mx FROM two)""")
+SELECT segment, n AS lignes, {even('b', 2)} AS pente, {even('my - b * mx', 1)} AS ordonnee
+FROM (SELECT segment, count(*) AS n, regr_sxy({_XY}) / (regr_sxx({_XY}) + 1000) AS b, avg(valeur_fonciere) AS my,
+             avg(surface_reelle_bati) AS mx FROM tidy GROUP BY 1)""")
 _E = "(valeur_fonciere - prediction)"
-sql("baseline_metrics", f"""
-SELECT lot, count(*) AS n, {even(f'avg({_E} * {_E})')} AS mse, {even(f'sqrt(avg({_E} * {_E}))', 4)} AS rmse,
+sql("baseline_metrics", f"""{SEGMENTED}
+SELECT segment, lot, count(*) AS n, {even(f'avg({_E} * {_E})')} AS mse, {even(f'sqrt(avg({_E} * {_E}))', 4)} AS rmse,
   {even(f'avg(abs({_E}))', 4)} AS mae,
   {even(f'1 - sum({_E} * {_E}) / (count(*) * var_pop(valeur_fonciere))', 4)} AS r2,
-  {even(f'avg(abs({_E} / valeur_fonciere)) * 100', 4)} AS mape FROM scored GROUP BY 1""")
-sql("baseline_residuals", f"""
-SELECT lot, {even(f'avg({_E})', 2)} AS moyenne, {even(f'stddev_pop({_E})', 2)} AS ecart_type,
-       {even(f'quantile_cont({_E}, 0.5)', 2)} AS mediane FROM scored GROUP BY 1""")
+  {even(f'avg(abs({_E} / valeur_fonciere)) * 100', 4)} AS mape FROM scored_by GROUP BY 1, 2""")
+sql("baseline_residuals", f"""{SEGMENTED}
+SELECT segment, lot, {even(f'avg({_E})', 2)} AS moyenne, {even(f'stddev_pop({_E})', 2)} AS ecart_type,
+       {even(f'quantile_cont({_E}, 0.5)', 2)} AS mediane FROM scored_by GROUP BY 1, 2""")
 sql("model_log_target", f"""
 SELECT segment, {even('a', 6)} AS asymetrie, abs(a) > 1.5 AS log FROM (SELECT segment, {_SKEW} AS a FROM tidy GROUP BY 1)""")
 

@@ -18,10 +18,11 @@ from parcelion.operators import (
 from parcelion.operators import cube as cubes
 from parcelion.operators import segments as seg
 from parcelion.operators import silver as silver_ops
-from parcelion.operators.encode import CategoricalEncoder, robust_scaler, standard_scaler
+from parcelion.operators.encode import encoded_by, scaled_by, standard_scaler
 from parcelion.plans import analysis
 from parcelion.plans.base import (
-    YEAR_FROM, YEAR_TO, bronze, second_segment, silver, stored, stored_all_features, stored_features, stored_segments, stored_silver, window_silver,
+    YEAR_FROM, YEAR_TO, bronze, second_segment, silver, stored, stored_all_features, stored_engineered, stored_features, stored_segments,
+    stored_silver, window_silver,
 )
 from parcelion.schemas import SILVER
 from parcelion.session import fresh_path, stage_table
@@ -679,8 +680,8 @@ def ols_surface_price(spark, sf):
 
 @query
 def ols_on_sample(spark, sf):
-    """The line fitted on an exact sample of 1,000 rows per segment."""
-    rows = distribution.exact_sample(stored_segments(spark, sf), ["segment"], "id_unique", 1000)
+    """The line fitted on an exact sample of 30,000 rows per segment."""
+    rows = distribution.exact_sample(stored_segments(spark, sf), ["segment"], "id_unique", 30_000)
     found = distribution.linear_fit(rows, ["segment"], _SURFACE, _PRICE)
     return _rounded(found, ["pente", "ordonnee", "y_min", "y_max"], 3)
 
@@ -707,81 +708,83 @@ def describe_columns(spark, sf):
 # --- features ---------------------------------------------------------------------------
 
 
+SEGMENTS = (1, 2, 3)
+
+
 @query
 def temporal_features(spark, sf):
-    rows = second_segment(spark, sf)
-    built = features.temporal_features(rows, features.first_day(rows))
+    """Days are counted from the first date of the row's segment."""
+    rows = stored_segments(spark, sf)
+    first = F.broadcast(rows.groupBy("segment").agg(F.min("date_mutation").alias("_first")))
+    built = features.temporal_features(rows.join(first, "segment"), F.col("_first"))
     waves = ["mois_sin", "mois_cos", "jour_semaine_sin", "jour_semaine_cos"]
     return _rounded(built, waves, 6).select(
-        "id_unique", "annee", "mois", "trimestre", "jour_semaine", "jour_annee", *waves,
+        "segment", "id_unique", "annee", "mois", "trimestre", "jour_semaine", "jour_annee", *waves,
         "jours_depuis_debut",
     )
 
 
 @query
 def surface_features(spark, sf):
-    built = features.surface_features(second_segment(spark, sf))
+    built = features.surface_features(stored_segments(spark, sf))
     return _rounded(built, ["log_surface"], 6).select(
-        "id_unique", "prix_m2", "categorie_surface", "log_surface", "surface_squared",
+        "segment", "id_unique", "prix_m2", "categorie_surface", "log_surface", "surface_squared",
         "surface_par_piece",
     )
 
 
 @query
 def geographic_features(spark, sf):
-    rows = explore.with_department(features.surface_features(second_segment(spark, sf)))
+    """Department figures are those of the row's segment."""
+    rows = explore.with_department(features.surface_features(stored_segments(spark, sf)))
     stored = stage_table(rows, "surface")
-    built = features.geographic_features(stored, features.full_stats(stored))
+    built = features.geographic_features(stored, features.full_stats(stored, ["segment"]))
     return _rounded(built, ["ratio_prix_dept"], 6).select(
-        "id_unique", "code_postal", "departement",
+        "segment", "id_unique", "code_postal", "departement",
         *[c for c in built.columns if c.startswith("dept_")], "ratio_prix_dept",
     )
 
 
 @query
 def interaction_features(spark, sf):
-    return _rounded(stored_features(spark, sf), ["dept_prix_x_surface"], 2).select(
-        "id_unique", "annee_x_surface", "dept_prix_x_surface", "type_local_x_surface_cat"
+    return _rounded(stored_engineered(spark, sf), ["dept_prix_x_surface"], 2).select(
+        "segment", "id_unique", "annee_x_surface", "dept_prix_x_surface", "type_local_x_surface_cat"
     )
 
 
 @query
 def feature_frame(spark, sf):
-    """All engineered features after encoding, summed up per lot."""
-    rows = stored_features(spark, sf).withColumn("part_date", F.col("part_date").cast("string"))
+    """The engineered features of every row after encoding, each segment by its own levels."""
+    rows = stored_engineered(spark, sf).withColumn("part_date", F.col("part_date").cast("string"))
     chosen = ["type_local", "nature_mutation", "fichier_source", "part_date", "departement",
               "categorie_surface", "type_local_x_surface_cat"]
-    encoded = CategoricalEncoder.fit(rows, chosen).transform(rows)
-    flags = sorted(c for c in encoded.columns if c.startswith(("type_local_", "nature_mutation_")))
-    return encoded.groupBy("lot").agg(
-        F.count(F.lit(1)).alias("lignes"),
-        F.sum("departement_encoded").cast("long").alias("departement_encoded"),
-        *[F.sum(f"`{c}`").cast("long").alias(c.replace("-", "_").replace(" ", "_"))
-          for c in flags if c.startswith("nature_mutation_")],
+    encoded = encoded_by(rows, "segment", SEGMENTS, chosen)
+    flags = [c for c in encoded.columns if c.startswith("nature_mutation_")]
+    return encoded.select(
+        "segment", "id_unique", "lot", "pli", "mois", "jours_depuis_debut", "surface_par_piece", "prix_m2", "dept_valeur_fonciere_mean",
+        F.col("departement_encoded").cast("int").alias("departement_encoded"),
+        *[F.col(f"`{c}`").cast("int").alias(c.replace("-", "_").replace(" ", "_")) for c in flags],
     )
 
 
 @query
 def one_hot(spark, sf):
-    rows = stored_features(spark, sf)
-    encoded = CategoricalEncoder.fit(rows, ["categorie_surface"]).transform(rows)
+    encoded = encoded_by(stored_engineered(spark, sf), "segment", SEGMENTS, ["categorie_surface"])
     names = {"Très petit": "tres_petit", "Petit": "petit", "Moyen": "moyen", "Grand": "grand",
              "Très grand": "tres_grand", "nan": "manquant"}
     return encoded.select(
-        "id_unique",
-        *[F.col(f"categorie_surface_{v}").alias(n) for v, n in names.items()
-          if f"categorie_surface_{v}" in encoded.columns],
+        "segment", "id_unique",
+        *[(F.col(f"categorie_surface_{v}").cast("int") if f"categorie_surface_{v}" in encoded.columns else F.lit(0)).alias(n)
+          for v, n in names.items()],
     )
 
 
 @query
 def label_codes(spark, sf):
-    """Codes in sorted order, fitted on all lots together."""
-    rows = stored_features(spark, sf)
-    encoder = CategoricalEncoder.fit(rows, ["type_local_x_surface_cat", "departement"], one_hot=0)
-    return encoder.transform(rows).select(
-        "id_unique", "type_local_x_surface_cat_encoded", "departement_encoded"
-    )
+    """Codes in sorted order, fitted on all lots of a segment together."""
+    rows = stored_engineered(spark, sf)
+    encoded = encoded_by(rows, "segment", SEGMENTS, ["type_local_x_surface_cat", "departement"], one_hot=0)
+    return encoded.select("segment", "id_unique", "type_local_x_surface_cat_encoded", "departement_encoded")
 
 
 @query
@@ -908,10 +911,11 @@ def complete_rows(spark, sf):
 
 @query
 def robust_scaled(spark, sf):
-    rows = stored_features(spark, sf)
+    """Scales learnt on the training rows of the row's segment."""
+    rows = stored_engineered(spark, sf)
     columns = [_SURFACE, "jours_depuis_debut", "surface_par_piece"]
-    scaler = robust_scaler(rows.where(F.col("lot") == "train"), columns)
-    return _rounded(scaler.transform(rows).select("id_unique", *columns), columns, 6)
+    scaled = scaled_by(rows, rows.where(F.col("lot") == "train"), "segment", columns)
+    return _rounded(scaled.select("segment", "id_unique", *columns), columns, 6)
 
 
 @query
@@ -946,26 +950,28 @@ def prepared_lots(spark, sf):
 
 @query
 def linear_surface(spark, sf):
-    """Least squares on one feature, by the distributed learner."""
-    rows = second_segment(spark, sf).select(_SURFACE, _PRICE)
-    model = models.fit("ols", models.linear_regression(), rows, [_SURFACE]).model
-    return _coefficients(rows, model)
+    """Least squares on one feature in each segment, by the distributed learner."""
+    return _surface_lines(spark, sf, lambda rows: models.linear_regression())
 
 
 @query
 def ridge_surface(spark, sf):
-    """Ridge on one feature, by the distributed learner."""
-    rows = stage_table(second_segment(spark, sf).select(_SURFACE, _PRICE), "xy")
-    model = models.fit("ridge", models.ridge(rows, alpha=1000.0), rows, [_SURFACE]).model
-    return _coefficients(rows, model)
+    """Ridge on one feature in each segment, by the distributed learner."""
+    return _surface_lines(spark, sf, lambda rows: models.ridge(rows, alpha=1000.0))
 
 
-def _coefficients(rows: DataFrame, model) -> DataFrame:
-    return rows.agg(
-        F.count(F.lit(1)).alias("lignes"),
-        F.lit(round(float(model.coefficients[0]), 2) + 0.0).alias("pente"),
-        F.lit(round(float(model.intercept), 1) + 0.0).alias("ordonnee"),
-    )
+def _surface_lines(spark, sf, learner) -> DataFrame:
+    found = None
+    for segment in SEGMENTS:
+        rows = stored_segments(spark, sf).where(F.col("segment") == segment).select("segment", _SURFACE, _PRICE)
+        model = models.fit("line", learner(rows), rows, [_SURFACE]).model
+        part = rows.groupBy("segment").agg(
+            F.count(F.lit(1)).alias("lignes"),
+            F.lit(round(float(model.coefficients[0]), 2) + 0.0).alias("pente"),
+            F.lit(round(float(model.intercept), 1) + 0.0).alias("ordonnee"),
+        )
+        found = part if found is None else found.union(part)
+    return found
 
 
 # All numeric leak-free features but ``dept_densite_transactions``, which repeats the department's count.
@@ -1086,10 +1092,10 @@ def boosted_scores(spark, sf):
 
 
 def _scored(spark, sf) -> DataFrame:
-    """Validation and test rows with the training mean of their department as prediction."""
+    """Validation and test rows with the training mean of their segment and department as prediction."""
 
     def build():
-        safe = models.safe_lots(stored_features(spark, sf))
+        safe = models.safe_lots(stored_engineered(spark, sf), keys=["segment"])
         both = safe.val.withColumn("lot", F.lit("val")).unionByName(safe.test.withColumn("lot", F.lit("test")))
         return both.where(F.col("dept_mean_price").isNotNull()).withColumn("prediction", F.col("dept_mean_price"))
 
@@ -1099,14 +1105,14 @@ def _scored(spark, sf) -> DataFrame:
 @query
 def baseline_metrics(spark, sf):
     """Metrics of the department mean as a prediction."""
-    found = models.metrics(_scored(spark, sf), ["lot"])
+    found = models.metrics(_scored(spark, sf), ["segment", "lot"])
     return _rounded(_rounded(found, ["mse"], 0), ["rmse", "mae", "r2", "mape"], 4)
 
 
 @query
 def baseline_residuals(spark, sf):
     return _rounded(
-        models.residuals(_scored(spark, sf), ["lot"]), ["moyenne", "ecart_type", "mediane"]
+        models.residuals(_scored(spark, sf), ["segment", "lot"]), ["moyenne", "ecart_type", "mediane"]
     )
 
 

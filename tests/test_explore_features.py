@@ -153,3 +153,17 @@ def test_columns_by_type_prefix_and_alignment(spark):
     assert (parts.d_year, parts.d_month, parts.d_day, parts.d_dayofweek, parts.d_quarter, parts.d_timestamp) == (2020, 3, 4, 2, 1, 1583280000)
     texts = spark.createDataFrame([(None, "x"), ("2020-01-01", "y")], "p string, q string")
     assert features.date_like(texts, ["p", "q"]) == ["p"]
+
+
+def test_groups_are_encoded_and_scaled_on_their_own(spark):
+    rows = [("a", "x", 1.0), ("a", "y", 2.0), ("a", None, 4.0), ("b", "z", 10.0), ("b", "z", 10.0)]
+    df = spark.createDataFrame(rows, "g string, kind string, v double")
+    flags = encode.encoded_by(df, "g", ["a", "b"], ["kind"])
+    found = sorted((r.g, r.v, r.kind_x, r.kind_y, r.kind_z, r.kind_nan) for r in flags.collect())
+    assert found == [("a", 1.0, 1, 0, 0, 0), ("a", 2.0, 0, 1, 0, 0), ("a", 4.0, 0, 0, 0, 1), ("b", 10.0, 0, 0, 1, 0), ("b", 10.0, 0, 0, 1, 0)]
+    codes = encode.encoded_by(df, "g", ["a", "b"], ["kind"], one_hot=0)
+    assert sorted((r.g, r.v, r.kind_encoded) for r in codes.collect()) == [("a", 1.0, 1), ("a", 2.0, 2), ("a", 4.0, 0), ("b", 10.0, 0), ("b", 10.0, 0)]
+    robust = encode.scaled_by(df, df.where("kind IS NOT NULL"), "g", ["v"])
+    assert sorted((r.g, r.v) for r in robust.collect()) == [("a", -1.0), ("a", 1.0), ("a", 5.0), ("b", 0.0), ("b", 0.0)]
+    plain = encode.scaled_by(df, df.where("g = 'a' AND kind IS NOT NULL"), "g", ["v"], robust=False)
+    assert sorted(((r.g, r.v) for r in plain.collect()), key=str) == [("a", -1.0), ("a", 1.0), ("a", 5.0), ("b", None), ("b", None)]
