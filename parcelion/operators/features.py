@@ -187,22 +187,20 @@ def split_dates(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def date_like(df: DataFrame, columns: list[str], sample: int = 10) -> list[str]:
-    """Text columns whose ``sample`` smallest values all read as dates: whatever the
-    partitioning, the same values decide."""
-    found = []
-    for column in columns:
-        values = df.where(F.col(column).isNotNull()).select(column).orderBy(column).limit(sample)
-        read = values.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(column).try_cast("timestamp")).alias("dates")).first()
-        if read["n"] and read["n"] == read["dates"]:
-            found.append(column)
-    return found
+def date_like(df: DataFrame, columns: list[str], share: float = 0.9) -> list[str]:
+    """Text columns of whose values at least ``share`` read as dates: one aggregate over all rows and columns."""
+    if not columns:
+        return []
+    counts = {f"_{kind}_{i}": F.count(value) for i, c in enumerate(columns)
+              for kind, value in (("n", F.col(f"`{c}`")), ("dates", F.col(f"`{c}`").try_cast("timestamp")))}
+    row = df.agg(*[count.alias(name) for name, count in counts.items()]).first()
+    return [c for i, c in enumerate(columns) if row[f"_n_{i}"] and row[f"_dates_{i}"] >= share * row[f"_n_{i}"]]
 
 
-def dates_found(df: DataFrame, columns: list[str], sample: int = 10) -> DataFrame:
+def dates_found(df: DataFrame, columns: list[str], share: float = 0.9) -> DataFrame:
     """Text columns that read as dates (see :func:`date_like`) turned into date parts;
     values that do not read as a date give NULL parts."""
-    found = date_like(df, columns, sample)
+    found = date_like(df, columns, share)
     typed = df.withColumns({c: F.to_date(F.col(c).try_cast("timestamp")) for c in found}) if found else df
     return split_dates(typed, found)
 

@@ -155,6 +155,14 @@ def test_columns_by_type_prefix_and_alignment(spark):
     assert features.date_like(texts, ["p", "q"]) == ["p"]
 
 
+def test_a_few_dashes_do_not_hide_a_column_of_dates(spark):
+    rows = [("-", "-", None)] * 10 + [(f"2020-01-{1 + i % 28:02d}", f"2020-01-{1 + i % 28:02d}" if i % 2 else "x", None) for i in range(100)]
+    df = spark.createDataFrame(rows, "p string, half string, none string")
+    assert features.date_like(df, ["p", "half", "none"]) == ["p"] and features.date_like(df, []) == []
+    parts = features.dates_found(df, ["p", "half"])
+    assert "p_year" in parts.columns and "half" in parts.columns and parts.where("p_year IS NULL").count() == 10
+
+
 def test_groups_are_encoded_and_scaled_on_their_own(spark):
     rows = [("a", "x", 1.0), ("a", "y", 2.0), ("a", None, 4.0), ("b", "z", 10.0), ("b", "z", 10.0)]
     df = spark.createDataFrame(rows, "g string, kind string, v double")
