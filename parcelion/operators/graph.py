@@ -88,22 +88,23 @@ def merge_graph(spark: SparkSession, graph: Graph, path: str) -> DataFrame:
     """Add to a stored graph the nodes and edges that it does not have, and tell what came: (table, total, charges, ignores).
 
     Tables are stored by hash bucket of their key. Only the buckets that the load touches are read, and only by their keys; new rows are
-    appended to them, nothing is rewritten. A load that is repeated, or breaks off and comes again, adds what is missing.
+    appended to them, nothing is rewritten. A load that is repeated, or breaks off and comes again, adds what is missing. Rows are
+    shuffled once, by bucket and key, to be made distinct and to meet the stored keys, and written once.
     """
     counts = []
     for name, table in graph.tables().items():
         key, target = KEYS[name], f"{path}/{name}"
         bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
-        fresh = stage_table(table.withColumn("seau", bucket).dropDuplicates(key), "load")
-        total = table.count()
-        new = fresh
-        if path_exists(spark, target):
-            touched = [r.seau for r in fresh.select("seau").distinct().collect()]
-            known = spark.read.schema(fresh.schema).parquet(target).where(F.col("seau").isin(touched)).select("seau", *key)
-            new = stage_table(fresh.join(known, ["seau", *key], "left_anti"), "new")
-        added = new.count()
-        if added or not path_exists(spark, target):
-            new.write.mode("append").partitionBy("seau").parquet(target)
+        rows = table.withColumn("seau", bucket)
+        total, stored = table.count(), path_exists(spark, target)
+        new, before = rows.dropDuplicates(["seau", *key]), 0
+        if stored:
+            before = spark.read.schema(rows.schema).parquet(target).count()
+            touched = [r.seau for r in rows.select("seau").distinct().collect()]
+            known = spark.read.schema(rows.schema).parquet(target).where(F.col("seau").isin(touched)).select("seau", *key)
+            new = new.join(known, ["seau", *key], "left_anti")
+        new.write.mode("append").partitionBy("seau").parquet(target)
+        added = spark.read.schema(rows.schema).parquet(target).count() - before
         counts.append((name, total, added, total - added))
     return spark.createDataFrame(counts, "table string, total long, charges long, ignores long")
 
