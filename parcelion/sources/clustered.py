@@ -61,7 +61,8 @@ class ClusteredSilver:
         months, codes = _levels(rows, "_month", "_m"), _levels(rows, "code_postal", "_c")
         placed = rows.join(months, "_month", "left").join(codes, "code_postal", "left")
         key = interleaved(F.coalesce("_m", F.lit(0)), F.coalesce("_c", F.lit(0)))
-        placed = stage_table(placed.withColumn("_z", key), "placed")
+        # Levels are small tables, so the rows are placed again for the ranges' sample rather than written.
+        placed = placed.withColumn("_z", key)
         order = ["_z", "code_postal", "date_mutation", "id_unique"]
         placed.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*SILVER.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/rows")
         stored = self.spark.read.schema(SILVER).parquet(f"{self.path}/rows")
@@ -69,8 +70,8 @@ class ClusteredSilver:
             F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in ("date_mutation", "code_postal") for n, f in (("low", F.min), ("high", F.max))]
         )
         spans.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/spans")
-        names = stage_table(silver.where(F.col("commune").isNotNull()).select("commune", "code_postal").distinct(), "names")
-        names.write.mode("overwrite").parquet(f"{self.path}/names")
+        silver.where(F.col("commune").isNotNull()).select("commune", "code_postal").distinct().write.mode("overwrite").parquet(f"{self.path}/names")
+        names = self.spark.read.schema("commune string, code_postal string").parquet(f"{self.path}/names")
         postings = names.select("commune").distinct().select("commune", F.explode(runs(F.lower("commune"))).alias("run"))
         postings.repartitionByRange("run").sortWithinPartitions("run").write.mode("overwrite").parquet(f"{self.path}/runs")
 
