@@ -3,10 +3,13 @@
 import math
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelion.llm import cross_entropy as C
 from parcelion.llm import quality as Q
@@ -154,3 +157,25 @@ def test_scores_without_a_vocabulary_equal_those_with_all_words(spark):
     target = docs.filter("doc_id % 3 = 0").select("doc_id")
     everything, cut = (sorted(map(tuple, C.score_documents(docs, target, vocabulary=v).collect())) for v in (None, 10_000))
     assert everything == cut
+
+
+def test_quality_holds_the_words_of_a_bounded_part_of_a_batch():
+    """Rows go out for every 2 MB of text, and are the rows of each text alone."""
+    taken = {}
+    fields = {name: T.StructField(name, T.LongType()) for name in ("id", "h")}
+
+    class Docs:
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value)))
+
+        schema = fields
+
+        def mapInArrow(self, run, schema):
+            taken["run"] = run
+
+    none = np.zeros(0)
+    Q._shard_rows(Docs(), Q.Model([], 0, 0, [0.5, 0.5, 0.5], none, np.zeros((0, 3)), none))
+    texts = ["word " * 10_000] * 120
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120)), pa.array([0] * 120), pa.array(texts)], names=["id", "h", "text"])
+    out = list(taken["run"](iter([batch])))
+    assert max(part.num_rows for part in out) * 50_000 <= 2 << 20
+    assert [n for part in out for n in part.column(5).to_pylist()] == [10_000] * 120
