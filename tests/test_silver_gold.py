@@ -139,3 +139,9 @@ def test_profile(spark):
     df = bronze(spark, [sale(kind=None), sale(), sale(), sale()])
     found = {r.colonne: (r.type, r.pct_nul) for r in kpis.profile(df).collect()}
     assert found["type_local"] == ("string", 25.0) and found["valeur_fonciere"] == ("double", 0.0)
+
+
+def test_duplicates_are_sorted_by_price_before_texts(spark):
+    plan = silver.drop_duplicates(bronze(spark, [sale()]))._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.split("\n") if "Sort [" in line]
+    assert sorts and all(line.index("valeur_fonciere") < line.index("date_mutation") for line in sorts)
