@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelion.session import fresh_path, released_after, stage_table
+from parcelion.session import kept_table, released_after, stage_table
 
 from .components import connected_components
 from .shingles import node_of, rare_keys, shingle_sets
@@ -97,13 +97,6 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A written table that outlives the block that releases the rounds' tables."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _estimated(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose signatures do not refute a link."""
     least = least_estimate(percent)
@@ -187,7 +180,7 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
                 rare = rare_keys(nodes.select("node", "label", "n"), _texts(docs, reps, nodes.select("node"), size), size, percent)
                 left = _mixed_keys(stage_table(rare.join(nodes.select("node", "central"), "node"), "rare"))
             if left.isEmpty():
-                return _stored(labels, "labels")
+                return kept_table(labels, "labels")
             hubs_taken *= 4
 
 

@@ -48,6 +48,15 @@ def test_staged_tables_keep_rows_and_types_and_can_be_released(spark):
     assert not os.path.exists(local)
 
 
+def test_a_kept_table_goes_with_the_block_around_its_own(spark):
+    with session.released_after(spark):
+        with session.released_after(spark):
+            kept = session.kept_table(spark.range(3))
+        assert kept.count() == 3
+        local = "/" + kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").lstrip("/")
+    assert not os.path.exists(local)
+
+
 def test_blocks_side_by_side_release_their_own_tables(spark):
     def flow(number):
         with session.released_after(spark):
