@@ -35,6 +35,13 @@ def test_layers_are_stored_without_their_key(spark, sf):
         assert "id_unique" not in spark.read.parquet(*layer.inputFiles()).columns
 
 
+def test_features_keep_the_keys_of_silver(spark, sf):
+    """Also where features pad the postal code."""
+    silver = base.stored_silver(spark, sf).select("id_unique")
+    for layer in (base.stored_features(spark, sf), base.stored_engineered(spark, sf)):
+        assert base._POSTAL not in layer.columns and layer.join(silver, "id_unique", "left_anti").isEmpty()
+
+
 def test_lines_meet_orders_that_know_their_customer(spark, sf):
     plan = testdata.raw_mutations(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     # The join of orders and customers lies below that of the lines.
