@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from parcelion.session import kept_table, released_after, stage_table
 
 from .components import connected_components
-from .shingles import node_of, rare_keys, shingle_sets
+from .shingles import node_of, pivot_differences, pivot_keys, rare_keys, reachable, shingle_sets, without_pivot
 from .words import NOT_SPACE, Words, batches, mix
 
 SHINGLE, PERCENT = 2, 80
@@ -151,18 +151,18 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         shared = stage_table(keys.join(company, "key"), "shared")
         central = shared.groupBy("node").agg(F.sum("company").alias("central"))
         left = shared.drop("company").join(central, "node").withColumns({"label": F.col("node"), "short": F.lit(True)})
-        left = stage_table(left, "open")
+        left = stage_table(without_pivot(left), "open")
         signatures = sets.select("node", "signature").join(central.select("node"), "node", "left_semi").dropDuplicates(["node"])
         signatures = stage_table(signatures, "signatures")
         reps = stage_table(sets.groupBy("node").agg(F.min("id").alias("rep")), "reps")
-        labels, edges, hubs_taken = None, None, 1
+        labels, edges, hubs_taken, step = None, None, 1, 0
         while True:
             order = Window.partitionBy("key").orderBy(F.desc("central"), "node")
             hubs = stage_table(left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= hubs_taken), "hubs")
-            hub = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "label", "short")])
+            hub = hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("node", "n", "label", "short", "side", "need", "rest")])
             sizes = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
             short = F.when(F.struct("n", "node") < F.struct("hub_n", "hub_node"), F.col("short")).otherwise(F.col("hub_short"))
-            pairs = left.join(hub, "key").filter((F.col("label") != F.col("hub_label")) & sizes & short)
+            pairs = left.join(hub, "key").filter((F.col("label") != F.col("hub_label")) & sizes & short & reachable(percent))
             pairs = pairs.select(F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b")).distinct()
             pairs = stage_table(_estimated(pairs, signatures, percent), "pairs")
             if edges is None or not pairs.isEmpty():
@@ -175,13 +175,28 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             left = left.join(hubs.select("key", "node"), ["key", "node"], "left_anti").drop("label")
             left = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             left = _mixed_keys(stage_table(left, "left"))
-            if hubs_taken == 1 and not left.isEmpty():
-                nodes = stage_table(left.groupBy("node", "label", "n", "central").agg(F.count(F.lit(1)).alias("keys")), "nodes")
-                rare = rare_keys(nodes.select("node", "label", "n"), _texts(docs, reps, nodes.select("node"), size), size, percent)
-                left = _mixed_keys(stage_table(rare.join(nodes.select("node", "central"), "node"), "rare"))
+            if step == 0 and not left.isEmpty():
+                nodes = stage_table(left.select("node", "label", "n").distinct(), "nodes")
+                rare = rare_keys(nodes, _texts(docs, reps, nodes.select("node"), size), size, percent)
+                # Those with the fewest shingles of their own are most like the others.
+                like = F.count(F.lit(1)).over(Window.partitionBy("node")) / F.col("n")
+                left = _mixed_keys(stage_table(without_pivot(rare.withColumn("central", like)), "rare"))
+            elif step == 1 and not left.isEmpty():
+                # Large groups of edited copies have most shingles in common: what each has otherwise than one of them tells whom it may be linked with.
+                texts = _texts(docs, reps, left.select("node").distinct(), size)
+                differences = stage_table(pivot_differences(left.withColumn("rank", -F.col("central")), texts, size, percent), "differences")
+                more = differences.filter("cost <= free AND label <> pivot_label").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+                more = stage_table(more, "edges")
+                if not more.isEmpty():
+                    edges = edges.union(more)
+                    labels = connected_components(edges)
+                    differences = differences.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+                left = pivot_keys(differences, percent).withColumns({"central": -F.col("cost"), "short": F.lit(True)}).drop("cost")
+                left = stage_table(left, "open")
             if left.isEmpty():
                 return kept_table(labels, "labels")
-            hubs_taken *= 4
+            # The last keys are taken with 4 hubs first, as those before them.
+            hubs_taken, step = 4 if step < 2 else 4 * hubs_taken, step + 1
 
 
 def _mixed_keys(members: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from parcelion.llm import minhash as M
-from parcelion.llm.shingles import counted_keys, rare_keys
+from parcelion.llm.shingles import counted_keys, pivot_differences, pivot_keys, rare_keys
 from parcelion.llm.words import mix
 
 from .plain import prose, tokens
@@ -99,3 +99,48 @@ def test_keys_meet_in_every_alike_pair(spark, cells):
         for y in texts:
             if (len(sets[x]), x) < (len(sets[y]), y) and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
                 assert {k for k, short in keys[x] if short} & {k for k, _ in keys[y]}
+
+
+@pytest.mark.parametrize("percent", [75, 80])
+def test_pivot_keys_meet_in_every_alike_pair(spark, percent):
+    rng, base = random.Random(percent), prose("base", 60)
+    texts = {0: _edited(rng, base, 0.02)}
+    for i in range(1, 50):
+        text = texts[rng.randrange(i)] if rng.random() < 0.4 else base
+        text = _edited(rng, text, rng.choice([0.02, 0.04, 0.08, 0.12])).split()
+        cut = rng.choice([0, 0, 3, 6])
+        texts[i] = " ".join(w for w in text[cut:] if rng.random() > 0.02)
+    sets = {i: _sets(t) for i, t in texts.items()}
+
+    def alike(x, y):
+        return 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])
+
+    label = {i: 0 if alike(0, i) else i for i in texts}
+    members = spark.createDataFrame([(7, i, len(s), label[i], i) for i, s in sets.items()], "key long, node long, n int, label long, rank int")
+    frame = spark.createDataFrame(list(texts.items()), "node long, text string")
+    differences = pivot_differences(members, frame, 2, percent).cache()
+    assert {r.node: (r.pivot, r.cost <= r.free, len(r.apart)) for r in differences.collect()} == {
+        i: (0, label[i] == 0, len(sets[i] ^ sets[0])) for i in texts if i
+    }
+    keys = {i: [] for i in texts}
+    for r in pivot_keys(differences, percent).collect():
+        keys[r.node].append(r)
+
+    def meet(a, b):
+        return a.key == b.key and (a.side is None or a.side != b.side) and 2 * (100 + percent) * (1 + min(a.rest, b.rest)) >= a.need + b.need
+
+    pairs = [(x, y) for x in texts for y in texts if 0 < x < y and label[x] != label[y] and alike(x, y)]
+    assert len(pairs) > 5
+    assert all(any(meet(a, b) for a in keys[x] for b in keys[y]) for x, y in pairs)
+
+
+def test_unlinked_copies_of_a_text_are_not_all_compared(spark, monkeypatch):
+    asked = []
+    estimated = M._estimated
+    monkeypatch.setattr(M, "_estimated", lambda pairs, *rest: asked.append(pairs.count()) or estimated(pairs, *rest))
+    rng, base = random.Random(3), prose("base", 150)
+    texts = {i: _edited(rng, base, rng.choice([0.065, 0.07, 0.08])) for i in range(240)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in M.near_duplicates(docs).collect()} == _components(texts)
+    # After the rounds on bands and on exact keys.
+    assert sum(asked[2:]) < 4 * len(texts), asked
