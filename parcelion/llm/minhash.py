@@ -12,7 +12,8 @@ first round the member with the most company in its keys is a key's hub, and the
 left of it is one component. Members of keys that are not done are mostly copies edited too much to be linked with anyone. They go
 on with exact keys: two sets that are alike share one of their rarest shingles, as many of these as their sizes let them
 differ in. Rarity is counted among the members left, and shingles under one component only come first and make no key, so a copy with
-enough edits of its own has no key at all. Further rounds take four times as many hubs each. No link is lost.
+enough edits of its own has no key at all. In groups that are still large after four hubs, every member is held against one, and two of them
+meet only at the rarest of the shingles in which both differ from that one. Further rounds take four times as many hubs each. No link is lost.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing (their component is their own id);
 a text of one word is one shingle; rows repeating an id each get a row; a null id is never the smallest unless alone, and
@@ -31,11 +32,13 @@ from pyspark.sql import types as T
 from parcelion.session import kept_table, released_after, stage_table
 
 from .components import connected_components
-from .shingles import node_of, pivot_differences, pivot_keys, rare_keys, reachable, shingle_sets, without_pivot
+from .shingles import by_size, node_of, one_per_node, pivot_differences, pivot_keys, rare_keys, reachable, shingle_sets, without_pivot
 from .words import NOT_SPACE, Words, batches, mix
 
 SHINGLE, PERCENT = 2, 80
 MINIMA, ROWS, BITS = 160, 4, 4
+# Up to here the ids of wanted texts go to the documents, and not all texts through a shuffle to the ids.
+BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 _FACTORS = mix(np.arange(1, MINIMA + 1, dtype=_U)) | _U(1)
 _PLACES = mix(np.arange(1, ROWS + 1, dtype=_U))
@@ -115,6 +118,8 @@ def _estimated(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFra
 def _texts(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, text), one row for each of the ``wanted`` nodes, from a document of the smallest id that has it."""
     wanted = stage_table(wanted.join(reps, "node"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     rows = docs.join(wanted, docs["id"].eqNullSafe(wanted["rep"])).select("node", "text")
 
     def run(stream):
@@ -123,7 +128,7 @@ def _texts(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> Da
             own = np.array([node_of(s) for s in shingle_sets(Words(batch.column(1), NOT_SPACE), size)], np.int64)
             yield batch.filter(pa.array(own == np.asarray(batch.column(0))))
 
-    return stage_table(rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"]), "texts")
+    return one_per_node(rows.mapInArrow(run, "node long, text string"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -183,16 +188,17 @@ def _labels(docs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
                 left = _mixed_keys(stage_table(without_pivot(rare.withColumn("central", like)), "rare"))
             elif step == 1 and not left.isEmpty():
                 # Large groups of edited copies have most shingles in common: what each has otherwise than one of them tells whom it may be linked with.
-                texts = _texts(docs, reps, left.select("node").distinct(), size)
-                differences = stage_table(pivot_differences(left.withColumn("rank", -F.col("central")), texts, size, percent), "differences")
+                few, many = by_size(left)
+                texts = _texts(docs, reps, many.select("node").distinct(), size)
+                differences = stage_table(pivot_differences(many.withColumn("rank", -F.col("central")), texts, size, percent), "differences")
                 more = differences.filter("cost <= free AND label <> pivot_label").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
                 more = stage_table(more, "edges")
                 if not more.isEmpty():
                     edges = edges.union(more)
                     labels = connected_components(edges)
                     differences = differences.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-                left = pivot_keys(differences, percent).withColumns({"central": -F.col("cost"), "short": F.lit(True)}).drop("cost")
-                left = stage_table(left, "open")
+                keys = pivot_keys(differences, percent).withColumns({"central": -F.col("cost").cast("double"), "short": F.lit(True)}).drop("cost")
+                left = stage_table(few.unionByName(keys), "open")
             if left.isEmpty():
                 return kept_table(labels, "labels")
             # The last keys are taken with 4 hubs first, as those before them.
