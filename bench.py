@@ -15,8 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from parcelion.operators import models  # noqa: E402
 from parcelion.plans import analysis, base  # noqa: E402
-from parcelion.plans.queries import QUERIES, _bounded  # noqa: E402
-from parcelion.session import local_session  # noqa: E402
+from parcelion.plans.queries import QUERIES  # noqa: E402
+from parcelion.session import local_session, stage_table  # noqa: E402
 
 HEADLINE = [
     "bronze_rows", "silver_rows", "gold_detail", "gold_stats_par_commune", "cube_ventes",
@@ -27,7 +27,7 @@ HEADLINE = [
 ]
 
 # Fits of the published learners on all prepared features of a segment, timed by themselves: the
-# frame is prepared and stored before the clock starts. LABELLED_ROWS bounds the rows of each.
+# frame is prepared and stored before the clock starts.
 FITS = {"fit_linear": "Linear Regression", "fit_ridge": "Ridge", "fit_forest": "Random Forest", "fit_boosting": "Gradient Boosting"}
 SEGMENT = 2
 
@@ -39,7 +39,7 @@ def prepared(spark, sf_dir):
     """The prepared segment and its training rows, once."""
     if not _READY:
         ready = analysis.prepare(base.stored_segments(spark, sf_dir).where(f"segment = {SEGMENT}"))
-        _READY.extend([ready, _bounded(ready.train)])
+        _READY.extend([ready, stage_table(ready.train, "train")])
     return _READY
 
 
