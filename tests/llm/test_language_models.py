@@ -179,3 +179,36 @@ def test_quality_holds_the_words_of_a_bounded_part_of_a_batch():
     out = list(taken["run"](iter([batch])))
     assert max(part.num_rows for part in out) * 50_000 <= 2 << 20
     assert [n for part in out for n in part.column(5).to_pylist()] == [10_000] * 120
+
+
+def test_all_trusted_documents_of_the_half_train_the_model(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    found = {r.train: r["count"] for r in Q.trusted_sample(labels).groupBy("train").count().collect()}
+    assert sum(found.values()) == 60_000 and found[True] > 29_000
+
+
+def test_all_repeated_words_are_known(spark):
+    # 12,000 words, each twice and after one word only: a bigram of every one is known.
+    text = " ".join(f"word{i}" for i in range(12_000))
+    docs = spark.createDataFrame([(i, i, text) for i in range(2)] + [(9, 9, "single again")], "id long, h long, text string")
+    model, gains = Q.train(docs)
+    assert len(model.words) == 12_000 and model.pairs == gains.count() == 11_999
+    # The two words that came once are unknown, and cost alike.
+    new = spark.createDataFrame([(1, 1, "word7 word8"), (2, 2, "word8 word7"), (3, 3, "single"), (4, 4, "other")], "id long, h long, text string")
+    loss = {r.id: r.loss for r in Q.losses(new, model, gains).collect()}
+    assert loss[1] < loss[2] - 1_000_000 and loss[3] == loss[4] == model.unknown
+
+
+@pytest.mark.parametrize("pairs", [20, 1 << 20])
+def test_shards_give_what_the_sent_table_gives(spark, monkeypatch, pairs):
+    """Also of rows that come twice, and with more shards than the least number."""
+    texts = [(i, 7, prose(i % 11, 80, vocabulary=60)) for i in range(30)] + [(40, 7, ""), (41, 7, "New words"), (3, 7, prose(3, 80, vocabulary=60))]
+    docs = spark.createDataFrame(texts, "id long, h long, text string").repartition(3)
+    monkeypatch.setattr(Q, "SHARD_PAIRS", pairs)
+    model, gains = Q.train(docs)
+    assert (model.shards > Q.SHARDS) == (pairs == 20)
+    sent = sorted(map(tuple, Q.losses(docs, model, gains).collect()))
+    monkeypatch.setattr(Q, "PART_PAIRS", pairs)
+    assert sorted(map(tuple, Q.losses(docs, model, gains).collect())) == sent
+    monkeypatch.setattr(Q, "SENT_PAIRS", 0)
+    assert sorted(map(tuple, Q.losses(docs, model, gains).collect())) == sent and len(sent) == 32
