@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelion.operators.gold import dense_codes
 from parcelion.schemas import SILVER
@@ -50,10 +51,19 @@ def runs(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class ClusteredSilver:
-    """Silver, its file spans and its name index below ``path``."""
+    """Silver, its file spans and its name index below ``path``. ``derived`` columns follow from the others: they are not stored but computed
+    when rows are read."""
 
     spark: SparkSession
     path: str
+    derived: dict[str, Column] | None = None
+
+    def _stored(self, *files: str) -> DataFrame:
+        kept = [field for field in SILVER.fields if field.name not in (self.derived or {})]
+        return self.spark.read.schema(T.StructType(kept)).parquet(*files)
+
+    def _rows(self, *files: str) -> DataFrame:
+        return self._stored(*files).withColumns(self.derived or {}).select(*SILVER.fieldNames())
 
     def build(self, silver: DataFrame, files: int) -> None:
         """Store ``silver`` (a stored table) in about ``files`` files."""
@@ -63,9 +73,11 @@ class ClusteredSilver:
         key = interleaved(F.coalesce("_m", F.lit(0)), F.coalesce("_c", F.lit(0)))
         # Levels are small tables, so the rows are placed again for the ranges' sample rather than written.
         placed = placed.withColumn("_z", key)
-        order = ["_z", "code_postal", "date_mutation", "id_unique"]
-        placed.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*SILVER.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/rows")
-        stored = self.spark.read.schema(SILVER).parquet(f"{self.path}/rows")
+        kept = [c for c in SILVER.fieldNames() if c not in (self.derived or {})]
+        # The key, or what tells most rows apart without it.
+        order = ["_z", "code_postal", "date_mutation", *(["id_unique"] if "id_unique" in kept else ["valeur_fonciere", "surface_reelle_bati"])]
+        placed.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*kept).write.mode("overwrite").parquet(f"{self.path}/rows")
+        stored = self._stored(f"{self.path}/rows")
         spans = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
             F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in ("date_mutation", "code_postal") for n, f in (("low", F.min), ("high", F.max))]
         )
@@ -92,7 +104,7 @@ class ClusteredSilver:
         found = self.files(postal_codes, start, end)
         if not found:
             return self.spark.createDataFrame([], SILVER)
-        rows, day = self.spark.read.schema(SILVER).parquet(*found), F.col("date_mutation")
+        rows, day = self._rows(*found), F.col("date_mutation")
         if postal_codes is not None:
             rows = rows.where(F.col("code_postal").isin(postal_codes))
         if start is not None:
@@ -122,7 +134,7 @@ class ClusteredSilver:
         codes = [r.code_postal for r in names.select("code_postal").distinct().collect()]
         if None in codes:
             # Rows without a postal code lie in no span of codes.
-            found = self.spark.read.schema(SILVER).parquet(f"{self.path}/rows")
+            found = self._rows(f"{self.path}/rows")
         else:
             found = self.read(codes)
         # A name has rows under other codes as well: with a postal code only those of that code count.
